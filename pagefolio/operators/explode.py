@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagefolio.functions import html
+from pagefolio.functions.html import DOC_DDL, read_pages
 from pagefolio.functions.selectors import text_of
 
 
@@ -17,8 +17,8 @@ def explode_html(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """
     kept = [f for f in pages.schema.fields if f.name != html_col]
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    schema = f"{names}, {html.DOC_DDL}" if kept else html.DOC_DDL
-    return pages.mapInArrow(lambda batches: html.read_pages(batches, html_col), schema)
+    schema = f"{names}, {DOC_DDL}" if kept else DOC_DDL
+    return pages.mapInArrow(lambda batches: read_pages(batches, html_col), schema)
 
 
 def elements(docs: DataFrame, *keys: str, with_text: bool = False) -> DataFrame:
