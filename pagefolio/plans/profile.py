@@ -32,10 +32,15 @@ from pagefolio.sources.scratch import written
 COMPANY = ["company_id", "company"]
 
 
-def of_companies(rules: DataFrame, company_ids: Iterable[str] | None) -> DataFrame:
-    """The rules of the given company ids, or all. An unknown id has no rules and no result."""
+def of_companies(rules: DataFrame, company_ids: Iterable[str] | DataFrame | None) -> DataFrame:
+    """The rules of the given company ids, or all. An unknown id has no rules and no result.
+
+    Many ids are best given as a DataFrame with a column ``company_id``; it may repeat them.
+    """
     if company_ids is None:
         return rules
+    if isinstance(company_ids, DataFrame):
+        return rules.join(company_ids.select("company_id"), "company_id", "left_semi")
     return rules.filter(F.col("company_id").isin(*company_ids))
 
 
@@ -158,7 +163,7 @@ def stamped(profiles: DataFrame, run_date: datetime.date | None = None) -> DataF
 def company_profiles(
     pages: DataFrame,
     rules: DataFrame,
-    company_ids: Iterable[str] | None = None,
+    company_ids: Iterable[str] | DataFrame | None = None,
     run_date: datetime.date | None = None,
 ) -> DataFrame:
     """Profiles of all companies in ``rules``, or of those with the given ids.

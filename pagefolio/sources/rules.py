@@ -21,7 +21,7 @@ import json
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagefolio.functions.news import FIELDS
@@ -35,6 +35,11 @@ RULE_DDL = (
 )
 
 
+def rule(row: dict) -> Column:
+    """One rule as a constant column, for rules that are derived from a table of sites."""
+    return F.from_json(F.lit(json.dumps(row)), RULE_DDL)
+
+
 def rules_table(spark: SparkSession, rows: Iterable[dict]) -> DataFrame:
     """Rules written in Python as a table whose size Spark knows."""
     texts = pa.table({"rule": pa.array([json.dumps(r) for r in rows], pa.string())})
