@@ -15,8 +15,6 @@ Output per page
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
@@ -37,7 +35,12 @@ ASCII_BLANKS = " \n\t\f\r"
 # Pages are handed back to the JVM in chunks of about this many characters of HTML.
 CHUNK_CHARS = 4_000_000
 
-_WORD = re.compile(r"\S+")
+# Tags in their plainest form; everything else is left to the standard parser.
+_PLAIN_START = re.compile(
+    r'<([a-zA-Z][a-zA-Z0-9-]*)((?:\s+[a-zA-Z][a-zA-Z0-9:_.-]*="[^"&]*")*)\s*>'
+)
+_PLAIN_ATTR = re.compile(r'\s([a-zA-Z][a-zA-Z0-9:_.-]*)="([^"]*)"')
+_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9-]*)>")
 
 DOC_DDL = (
     "text string, "
@@ -48,7 +51,7 @@ DOC_DDL = (
 
 
 class PageReader(HTMLParser):
-    """Collects the elements and strings of one page.
+    """Collects the elements and strings of pages in flat columns.
 
     Nesting follows the tags as written: there are no implied end tags, and an end tag closes
     up to the nearest open element of its name or is ignored.
@@ -56,77 +59,162 @@ class PageReader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
-        self.tag: list[str] = []
-        self.parent: list[int] = []
+        # One entry per page.
+        self.page_text: list[str | None] = []
+        self.node_ends = [0]
+        self.string_ends = [0]
+        # One entry per element; ids count from the first element of the page.
+        self.id: list[int] = []
         self.last: list[int] = []
-        self.attrs: list[dict[str, str]] = []
+        self.parent: list[int] = []
+        self.tag: list[str] = []
+        self.class_attr: list[str | None] = []
+        self.attr_ends = [0]
+        self.attr_names: list[str] = []
+        self.attr_values: list[str] = []
+        self.own: list[str | None] = []
         self.start: list[int] = []
-        self.end: list[int] = []
-        self.strings: list[tuple[int, str, str]] = []
+        self.len: list[int] = []
+        self.words: list[int] = []
+        # One entry per string.
+        self.string_parent: list[int] = []
+        self.string_kind: list[str] = []
+        self.string_text: list[str] = []
+
+    def read(self, html: str | None) -> None:
+        """Add one page."""
+        if html is None:
+            self.page_text.append(None)
+        else:
+            self._begin_page()
+            self.reset()
+            self.feed(html)
+            self.close()
+            self._flush()
+            while self.open:
+                self._close_top()
+            self.page_text.append("".join(self.text))
+        self.node_ends.append(len(self.tag))
+        self.string_ends.append(len(self.string_text))
+
+    def _begin_page(self) -> None:
+        self.first = len(self.tag)
+        self.open: list[int] = []  # positions in the element columns
+        self.open_names: dict[str, int] = {}
+        self.hidden: list[str] = []  # open elements whose strings are not text
+        self.keep_blanks = 0
+        # Per open element: how many children it has, and the string of the only one.
+        self.child_count: list[int] = []
+        self.child_string: list[str | None] = []
+        self.pending: list[str] = []
         self.text: list[str] = []
         self.text_len = 0
-        self.children: Counter[int] = Counter()
-        self.only_child: dict[int, int] = {}  # element id, or -1 - string position
-        self.open: list[int] = []
-        self.open_names: Counter[str] = Counter()
-        self.pending: list[str] = []
+        self.spaces = 0  # gaps between words in the text so far
 
     # -- building ---------------------------------------------------------------------
-    def _attach(self, child: int) -> int:
-        parent = self.open[-1] if self.open else -1
-        self.children[parent] += 1
-        self.only_child[parent] = child
-        return parent
-
     def _add_string(self, kind: str, text: str) -> None:
-        if not text.strip(ASCII_BLANKS) and text and not any(
-            self.open_names[t] for t in KEEP_BLANKS_TAGS
-        ):
+        shown = text.strip()
+        if not shown and text and not self.keep_blanks and not text.strip(ASCII_BLANKS):
             text = "\n" if "\n" in text else " "
-        self.strings.append((self._attach(-1 - len(self.strings)), kind, text))
-        if kind in ("text", "cdata"):
-            shown = text.strip()
+        if self.open:
+            self.child_count[-1] += 1
+            self.child_string[-1] = text
+            self.string_parent.append(self.open[-1] - self.first)
+        else:
+            self.string_parent.append(-1)
+        self.string_kind.append(kind)
+        self.string_text.append(text)
+        if shown and (kind == "text" or kind == "cdata"):
+            # Strings are joined without a gap, so the words at the seams become one.
             self.text.append(shown)
             self.text_len += len(shown)
+            self.spaces += len(shown.split()) - 1
 
     def _flush(self) -> None:
         if self.pending:
-            text, self.pending = "".join(self.pending), []
-            kind = "text"
-            if any(self.open_names[t] for t in HIDDEN_TEXT_TAGS):
-                kind = next(
-                    self.tag[i] for i in reversed(self.open) if self.tag[i] in HIDDEN_TEXT_TAGS
-                )
-            self._add_string(kind, text)
+            text = "".join(self.pending)
+            self.pending = []
+            self._add_string(self.hidden[-1] if self.hidden else "text", text)
+
+    def _add_element(self, tag: str, attrs: dict[str, str]) -> None:
+        if self.pending:
+            self._flush()
+        node = len(self.tag)
+        self.id.append(node - self.first)
+        self.last.append(node - self.first)
+        if self.open:
+            self.child_count[-1] += 1
+            self.parent.append(self.open[-1] - self.first)
+        else:
+            self.parent.append(-1)
+        self.tag.append(tag)
+        if attrs:
+            klass = attrs.pop("class", None)
+            self.class_attr.append(None if klass is None else " ".join(klass.split()))
+            self.attr_names.extend(attrs.keys())
+            self.attr_values.extend(attrs.values())
+        else:
+            self.class_attr.append(None)
+        self.attr_ends.append(len(self.attr_names))
+        self.own.append(None)
+        self.start.append(self.text_len)
+        # Until the element is closed this holds the gaps before it.
+        self.words.append(self.spaces)
+        self.len.append(0)
+
+    def _open_element(self, tag: str, attrs: dict[str, str]) -> None:
+        self._add_element(tag, attrs)
+        if tag in VOID_TAGS:
+            self._finish(len(self.tag) - 1)
+            if self.open:
+                self.child_string[-1] = None
+            return
+        self.open.append(len(self.tag) - 1)
+        self.child_count.append(0)
+        self.child_string.append(None)
+        self.open_names[tag] = self.open_names.get(tag, 0) + 1
+        if tag in HIDDEN_TEXT_TAGS:
+            self.hidden.append(tag)
+        elif tag in KEEP_BLANKS_TAGS:
+            self.keep_blanks += 1
+
+    def _finish(self, node: int) -> None:
+        length = self.text_len - self.start[node]
+        self.len[node] = length
+        self.words[node] = self.spaces - self.words[node] + 1 if length else 0
 
     def _close_top(self) -> str:
         node = self.open.pop()
-        self.last[node] = len(self.tag) - 1
-        self.end[node] = self.text_len
-        self.open_names[self.tag[node]] -= 1
-        return self.tag[node]
+        tag = self.tag[node]
+        self.last[node] = len(self.tag) - 1 - self.first
+        self._finish(node)
+        only_string = self.child_string.pop()
+        if self.child_count.pop() == 1:
+            self.own[node] = only_string
+        else:
+            only_string = None
+        if self.open:
+            self.child_string[-1] = only_string
+        self.open_names[tag] -= 1
+        if tag in HIDDEN_TEXT_TAGS:
+            self.hidden.pop()
+        elif tag in KEEP_BLANKS_TAGS:
+            self.keep_blanks -= 1
+        return tag
 
     # -- events -----------------------------------------------------------------------
     def handle_starttag(self, tag, attrs):
-        self.handle_startendtag(tag, attrs)
-        if tag not in VOID_TAGS:
-            node = len(self.tag) - 1
-            self.open.append(node)
-            self.open_names[tag] += 1
+        self._open_element(tag, {name: value or "" for name, value in attrs})
 
     def handle_startendtag(self, tag, attrs):
-        self._flush()
-        node = len(self.tag)
-        self.parent.append(self._attach(node))
-        self.tag.append(tag)
-        self.last.append(node)
-        self.attrs.append({k: v or "" for k, v in attrs})
-        self.start.append(self.text_len)
-        self.end.append(self.text_len)
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID_TAGS:
+            self._close_top()
 
     def handle_endtag(self, tag):
-        self._flush()
-        if self.open_names[tag]:
+        if self.pending:
+            self._flush()
+        if self.open_names.get(tag):
             while self._close_top() != tag:
                 pass
 
@@ -143,11 +231,11 @@ class PageReader(HTMLParser):
             if code < 256:
                 char = bytes([code]).decode("windows-1252")
             elif 0xD800 <= code < 0xE000:
-                char = "�"
+                char = "\ufffd"
         except UnicodeDecodeError:
             pass
         except (ValueError, OverflowError):
-            char = "�"
+            char = "\ufffd"
         self.pending.append(char)
 
     def _special(self, kind: str, data: str) -> None:
@@ -168,6 +256,29 @@ class PageReader(HTMLParser):
         is_cdata = data[:6].upper() == "CDATA["
         self._special("cdata" if is_cdata else "declaration", data[6:] if is_cdata else data)
 
+    # -- shortcuts --------------------------------------------------------------------
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
+    def parse_starttag(self, i):
+        plain = _PLAIN_START.match(self.rawdata, i)
+        if plain is None:
+            return super().parse_starttag(i)
+        tag, attrs = plain[1].lower(), plain[2]
+        self._open_element(
+            tag, {name.lower(): value for name, value in _PLAIN_ATTR.findall(attrs)} if attrs else {}
+        )
+        if tag in self.CDATA_CONTENT_ELEMENTS:
+            self.set_cdata_mode(tag)
+        return plain.end()
+
+    def parse_endtag(self, i):
+        plain = None if self.cdata_elem else _PLAIN_END.match(self.rawdata, i)
+        if plain is None:
+            return super().parse_endtag(i)
+        self.handle_endtag(plain[1].lower())
+        return plain.end()
+
     def parse_marked_section(self, i, report=1):
         try:
             return super().parse_marked_section(i, report)
@@ -175,80 +286,10 @@ class PageReader(HTMLParser):
             return self.parse_bogus_comment(i)
 
     # -- result -----------------------------------------------------------------------
-    def read(self, html: str) -> PageReader:
-        self.feed(html)
-        self.close()
-        self._flush()
-        while self.open:
-            self._close_top()
-        return self
-
-    def own_strings(self) -> list[str | None]:
-        """The string of an element that holds one string and nothing else, at any depth."""
-        own: list[str | None] = [None] * len(self.tag)
-        for node in range(len(self.tag) - 1, -1, -1):
-            if self.children[node] == 1:
-                child = self.only_child[node]
-                own[node] = own[child] if child >= 0 else self.strings[-1 - child][2]
-        return own
-
-    def word_counts(self, text: str) -> list[int]:
-        starts = [m.start() for m in _WORD.finditer(text)]
-        return [
-            bisect_left(starts, e) - bisect_right(starts, s) + 1 if e > s else 0
-            for s, e in zip(self.start, self.end)
-        ]
-
-
-class _Chunk:
-    """Flat columns of a run of pages, turned into Arrow arrays without row objects."""
-
-    def __init__(self) -> None:
-        self.text: list[str | None] = []
-        self.node_ends: list[int] = [0]
-        self.string_ends: list[int] = [0]
-        self.id: list[int] = []
-        self.last: list[int] = []
-        self.parent: list[int] = []
-        self.tag: list[str] = []
-        self.class_attr: list[str | None] = []
-        self.attr_ends: list[int] = [0]
-        self.attr_names: list[str] = []
-        self.attr_values: list[str] = []
-        self.own: list[str | None] = []
-        self.start: list[int] = []
-        self.len: list[int] = []
-        self.words: list[int] = []
-        self.strings: list[tuple[int, str, str]] = []
-
-    def add(self, html: str | None) -> None:
-        if html is None:
-            self.text.append(None)
-        else:
-            page = PageReader().read(html)
-            text = "".join(page.text)
-            self.text.append(text)
-            self.id.extend(range(len(page.tag)))
-            self.last.extend(page.last)
-            self.parent.extend(page.parent)
-            self.tag.extend(page.tag)
-            self.own.extend(page.own_strings())
-            self.start.extend(page.start)
-            self.len.extend(e - s for s, e in zip(page.start, page.end))
-            self.words.extend(page.word_counts(text))
-            for attrs in page.attrs:
-                klass = attrs.pop("class", None)
-                self.class_attr.append(None if klass is None else " ".join(klass.split()))
-                self.attr_names.extend(attrs.keys())
-                self.attr_values.extend(attrs.values())
-                self.attr_ends.append(len(self.attr_names))
-            self.strings.extend(page.strings)
-        self.node_ends.append(len(self.tag))
-        self.string_ends.append(len(self.strings))
-
     def arrays(self) -> list[pa.Array]:
+        """The document columns of all pages read so far."""
         int32, string = pa.int32(), pa.string()
-        missing = pa.array([t is None for t in self.text], pa.bool_())
+        missing = pa.array([t is None for t in self.page_text], pa.bool_())
         attrs = pa.MapArray.from_arrays(
             pa.array(self.attr_ends, int32),
             pa.array(self.attr_names, string),
@@ -269,13 +310,16 @@ class _Chunk:
             ],
             "id last parent tag class_attr attrs own_string start len words".split(),
         )
-        parents, kinds, texts = zip(*self.strings) if self.strings else ((), (), ())
         strings = pa.StructArray.from_arrays(
-            [pa.array(parents, int32), pa.array(kinds, string), pa.array(texts, string)],
+            [
+                pa.array(self.string_parent, int32),
+                pa.array(self.string_kind, string),
+                pa.array(self.string_text, string),
+            ],
             ["parent", "kind", "text"],
         )
         return [
-            pa.array(self.text, string),
+            pa.array(self.page_text, string),
             pa.ListArray.from_arrays(pa.array(self.node_ends, int32), nodes, mask=missing),
             pa.ListArray.from_arrays(pa.array(self.string_ends, int32), strings, mask=missing),
         ]
@@ -288,14 +332,14 @@ def read_pages(batches: Iterator[pa.RecordBatch], html_col: str) -> Iterator[pa.
         pages = batch.column(html_col)
         begin = 0
         while begin < batch.num_rows:
-            chunk, chars, end = _Chunk(), 0, begin
+            reader, chars, end = PageReader(), 0, begin
             while end < batch.num_rows and chars < CHUNK_CHARS:
                 html = pages[end].as_py()
                 chars += len(html or "")
-                chunk.add(html)
+                reader.read(html)
                 end += 1
             carried = [batch.column(n).slice(begin, end - begin) for n in kept]
             yield pa.RecordBatch.from_arrays(
-                carried + chunk.arrays(), names=kept + ["text", "nodes", "strings"]
+                carried + reader.arrays(), names=kept + ["text", "nodes", "strings"]
             )
             begin = end
