@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagefolio.functions.names import client_name
@@ -14,6 +14,9 @@ from pagefolio.functions.selectors import (
     matched_sets,
     text_of,
 )
+from pagefolio.operators.explode import explode_html
+from pagefolio.sources.pages import fetch
+from pagefolio.sources.scratch import size_checked
 
 
 def image_names(images: Column, cleaner: Column) -> Column:
@@ -24,18 +27,17 @@ def image_names(images: Column, cleaner: Column) -> Column:
     return F.filter(names, lambda name: name.isNotNull())
 
 
-def page_values(docs: DataFrame, specs: DataFrame) -> DataFrame:
-    """``page_id, spec, text, names, href`` for each spec ``(output, pick, cleaner)`` of a page."""
+def page_values(docs: DataFrame) -> DataFrame:
+    """Adds ``text``, ``names`` and ``href`` by the spec ``(output, pick, cleaner)`` of each row."""
     output, p, node = F.col("spec.output"), F.col("spec.pick"), F.col("node")
     # Client lists need all matches of a pick, the other outputs need one.
     return (
-        docs.join(specs, "page_id")
-        .withColumn("sets", matched_sets(F.col("nodes"), p))
+        docs.withColumn("sets", matched_sets(F.col("nodes"), p))
         .withColumn("node", F.when(output != "clients", chosen_node(F.col("sets"), p)))
         .withColumn("images", F.when(output == "clients", in_container(F.col("sets"), p)))
         .select(
             "page_id",
-            "spec",
+            "spec_key",
             F.when(
                 output == "description", F.coalesce(text_of(F.col("text"), node), p["default"])
             ).alias("text"),
@@ -45,8 +47,8 @@ def page_values(docs: DataFrame, specs: DataFrame) -> DataFrame:
     )
 
 
-def article_values(docs: DataFrame, specs: DataFrame) -> DataFrame:
-    """``page_id, spec, fields`` for each spec ``(gate, fields)`` of an article page."""
+def article_values(docs: DataFrame) -> DataFrame:
+    """Adds ``fields`` by the spec ``(gate, fields)`` of each row."""
     text, nodes, strings = F.col("text"), F.col("nodes"), F.col("strings")
     gate = F.col("spec.gate")
     is_open = gate.isNull() | (F.size(matched(nodes, gate)) > 0)
@@ -55,8 +57,35 @@ def article_values(docs: DataFrame, specs: DataFrame) -> DataFrame:
         picks, lambda p: F.when(p.isNotNull(), field_value(text, nodes, strings, p))
     )
     fields = F.struct(*[F.get("values", F.lit(i)).alias(f) for i, f in enumerate(FIELDS)])
-    return (
-        docs.join(specs, "page_id")
-        .withColumn("values", F.when(is_open, values))
-        .select("page_id", "spec", F.when(F.col("values").isNotNull(), fields).alias("fields"))
+    return docs.withColumn("values", F.when(is_open, values)).select(
+        "page_id", "spec_key", F.when(F.col("values").isNotNull(), fields).alias("fields")
+    )
+
+
+# Specs per row of a page. A page with more of them is read once per group of this size.
+SPECS_PER_ROW = 64
+
+
+def evaluated(wanted: DataFrame, specs: DataFrame, pages: DataFrame, values) -> DataFrame:
+    """``wanted`` with the values of its ``spec_key`` on its ``page_id``.
+
+    A page is read once, however many rows point to it, and a spec is evaluated once per page;
+    the rows then only pick up the narrow result. ``specs`` has ``spec_key`` and ``spec``.
+    """
+    by_page = Window.partitionBy("page_id").orderBy("spec_key")
+    found = wanted.filter("page_id is not null")
+    groups = (
+        found.select("page_id", "spec_key")
+        .distinct()
+        .withColumn("group", F.floor((F.row_number().over(by_page) - 1) / SPECS_PER_ROW))
+        .groupBy("page_id", "group")
+        .agg(F.collect_list("spec_key").alias("spec_keys"))
+        .drop("group")
+    )
+    docs = explode_html(fetch(pages, groups)).withColumn("spec_key", F.explode("spec_keys"))
+    results = values(docs.join(size_checked(specs), "spec_key"))
+    # Rows without a page stay out of the join, where they would all share one key.
+    missing = wanted.filter("page_id is null")
+    return found.join(results, ["page_id", "spec_key"], "left").unionByName(
+        missing, allowMissingColumns=True
     )

@@ -8,8 +8,9 @@ The plan for any number of sites:
 3. Look up, read and explode the articles that the listings lead to, each once.
 4. Bring the outputs of a company together in one aggregation.
 
-Between the steps small tables are written to the shared folder. Spark then knows their true
-size when it decides whether the HTML column can be joined without a shuffle.
+Between the steps tables of the size of the rules are written to the shared folder. What is
+joined to the HTML column is measured first: it is broadcast if it is small, so that the HTML is
+not shuffled, and shuffled with it otherwise.
 """
 
 from __future__ import annotations
@@ -23,10 +24,9 @@ from pyspark.sql import functions as F
 from pagefolio.functions.links import absolute, requested
 from pagefolio.functions.news import FIELDS, layout
 from pagefolio.operators.choose import choose_candidate, is_served
-from pagefolio.operators.explode import explode_html
-from pagefolio.operators.extract import article_values, page_values
+from pagefolio.operators.extract import article_values, evaluated, page_values
 from pagefolio.operators.lists import joined
-from pagefolio.sources.pages import fetch, latest_crawl
+from pagefolio.sources.pages import latest_crawl
 from pagefolio.sources.scratch import written
 
 COMPANY = ["company_id", "company"]
@@ -44,46 +44,56 @@ def of_companies(rules: DataFrame, company_ids: Iterable[str] | DataFrame | None
     return rules.filter(F.col("company_id").isin(*company_ids))
 
 
+def prepared(rules: DataFrame) -> DataFrame:
+    """Rules with their selectors set apart as ``page_spec`` and ``article_spec``, each with a key.
+
+    Sites that share a layout share their specs, so the keys stand for much larger values.
+    """
+    return (
+        rules.withColumn("request_url", requested(F.col("url")))
+        .withColumn("page_spec", F.struct("output", "pick", "cleaner"))
+        .withColumn("article_spec", F.struct("gate", "fields"))
+        .drop("pick", "cleaner", "gate", "fields")
+        .withColumn("page_key", F.md5(F.to_json("page_spec")))
+        .withColumn("article_key", F.md5(F.to_json("article_spec")))
+    )
+
+
+def specs_of(rules: DataFrame, kind: str) -> DataFrame:
+    """The distinct specs of a kind (``page`` or ``article``)."""
+    return rules.select(
+        F.col(f"{kind}_key").alias("spec_key"), F.col(f"{kind}_spec").alias("spec")
+    ).distinct()
+
+
 def choose_pages(rules: DataFrame, pages: DataFrame) -> DataFrame:
     """Every output of every company with the page that serves it; ``page_id`` may be null."""
-    rules = rules.withColumn("request_url", requested(F.col("url")))
     crawl = latest_crawl(pages, rules.select(F.col("request_url").alias("url")))
-    candidates = rules.join(crawl.withColumnRenamed("url", "request_url"), "request_url", "left")
+    candidates = rules.drop("page_spec", "article_spec").join(
+        crawl.withColumnRenamed("url", "request_url"), "request_url", "left"
+    )
     return choose_candidate(candidates, *COMPANY, "output", "part")
 
 
-def _evaluated(wanted: DataFrame, pages: DataFrame, values) -> DataFrame:
-    """``wanted`` with the values of its ``spec`` on its page.
-
-    A page is exploded once, however many companies point to it, and equal specs on a page
-    are evaluated once; the companies then only pick up the narrow result.
-    """
-    found = wanted.filter("page_id is not null")
-    docs = explode_html(fetch(pages, found.select("page_id").distinct()))
-    results = values(docs, found.select("page_id", "spec").distinct())
-    return wanted.join(results, ["page_id", "spec"], "left")
-
-
-def read_outputs(chosen: DataFrame, pages: DataFrame) -> DataFrame:
+def read_outputs(chosen: DataFrame, rules: DataFrame, pages: DataFrame) -> DataFrame:
     """Descriptions, client names and listing links."""
-    wanted = chosen.filter("output != 'article'").withColumn(
-        "spec", F.struct("output", "pick", "cleaner")
-    )
-    return _evaluated(wanted, pages, page_values).drop("spec", "pick", "cleaner")
+    wanted = chosen.filter("output != 'article'").withColumnRenamed("page_key", "spec_key")
+    return evaluated(wanted, specs_of(rules, "page"), pages, page_values)
 
 
 def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) -> DataFrame:
     """The article of every company: at a fixed address, or behind the link of its listing."""
-    columns = [*COMPANY, "article_url", "spec", "layout", "page_id"]
-    spec = F.struct("gate", "fields").alias("spec")
-    fixed = chosen.filter("output = 'article' and page_id is not null").select(
-        *COMPANY, F.col("url").alias("article_url"), spec, "layout", "page_id"
+    columns = [*COMPANY, "article_url", "article_key", "layout", "page_id"]
+    fixed = (
+        chosen.filter("output = 'article' and page_id is not null")
+        .withColumn("article_url", F.col("url"))
+        .select(*columns)
     )
     links = (
         outputs.filter("output = 'news' and href is not null")
         .withColumn("article_url", absolute(F.col("href"), F.col("base_url")))
-        .select(*COMPANY, "article_url", spec, "layout")
         .withColumn("request_url", requested(F.col("article_url")))
+        .drop("page_id")
     )
     crawl = latest_crawl(pages, links.select(F.col("request_url").alias("url")))
     served = crawl.filter(is_served(F.col("status"))).select(
@@ -93,9 +103,10 @@ def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) ->
     return linked.unionByName(fixed)
 
 
-def news_items(articles: DataFrame, pages: DataFrame) -> DataFrame:
+def news_items(articles: DataFrame, rules: DataFrame, pages: DataFrame) -> DataFrame:
     """``news`` and ``news_fields`` of every company with an article."""
-    read = _evaluated(articles, pages, article_values)
+    wanted = articles.withColumnRenamed("article_key", "spec_key")
+    read = evaluated(wanted, specs_of(rules, "article"), pages, article_values)
     fields = F.struct(
         F.col("article_url").alias("url"), *[F.col(f"fields.{f}").alias(f) for f in FIELDS]
     )
@@ -171,8 +182,9 @@ def company_profiles(
     ``pages``: ``page_id, url, html`` and, if known, ``status``. The URL is the address as
     requested, without fragment. Steps 1 and 2 run when this is called.
     """
-    rules = of_companies(rules, company_ids)
+    rules = written(prepared(of_companies(rules, company_ids)), "rules")
     chosen = written(choose_pages(rules, pages), "chosen")
-    outputs = written(read_outputs(chosen, pages), "outputs")
+    outputs = written(read_outputs(chosen, rules, pages), "outputs")
     articles = written(wanted_articles(chosen, outputs, pages), "articles")
-    return stamped(assemble(rules, outputs, news_items(articles, pages)), run_date)
+    news = news_items(articles, rules, pages)
+    return stamped(assemble(rules, outputs, news), run_date)

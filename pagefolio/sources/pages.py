@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagefolio.sources.scratch import size_checked
+
 
 def read_pages_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """``page_id, url, html, status`` from storage; pages without a status count as 200."""
@@ -38,12 +40,12 @@ def latest_crawl(pages: DataFrame, urls: DataFrame) -> DataFrame:
     """
     narrow = with_status(pages).select("url", "page_id", "status")
     return (
-        narrow.join(urls, "url", "left_semi")
+        narrow.join(size_checked(urls.distinct()), "url", "left_semi")
         .groupBy("url")
         .agg(F.max("page_id").alias("page_id"), F.max_by("status", "page_id").alias("status"))
     )
 
 
-def fetch(pages: DataFrame, page_ids: DataFrame) -> DataFrame:
-    """``page_id, html`` of the wanted pages, each once."""
-    return pages.select("page_id", "html").join(page_ids, "page_id", "left_semi")
+def fetch(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """HTML of the wanted pages, with the columns of ``wanted`` (``page_id`` and others)."""
+    return pages.select("page_id", "html").join(size_checked(wanted), "page_id")

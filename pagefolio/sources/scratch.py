@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,9 +29,24 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    This cuts the lineage in a way that survives lost executors, and it gives the planner
-    the true size of the table: small ones are broadcast, others are shuffled.
+    This cuts the lineage in a way that survives lost executors, and what is read several
+    times is computed once.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Rows of at most this many bytes, written as JSON, are broadcast. In memory they take a few
+# times as much.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def size_checked(df: DataFrame) -> DataFrame:
+    """``df`` as the smaller side of a join: broadcast if its rows measure small, else sorted.
+
+    File sizes say little about repetitive nested columns, so the rows themselves are
+    measured. ``df`` should be cheap to compute, such as a projection of a written table.
+    """
+    size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
