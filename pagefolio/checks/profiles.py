@@ -14,7 +14,7 @@ from pagefolio.functions.selectors import pick
 from pagefolio.plans.profile import company_profiles, of_companies
 from pagefolio.plans.sink import read_profiles, write_profiles
 from pagefolio.sources.rules import rule, rules_table
-from pagefolio.sources.scratch import shared_folder
+from pagefolio.sources.scratch import shared_folder, written
 from pagefolio.sources.sites import ARTICLE, SITES, TEXT_LINK, site_rows
 
 # -- listings and articles ---------------------------------------------------------------------
@@ -62,7 +62,7 @@ def listing_to_article(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("html"),
         F.when(F.col("c_acctbal") < 0, 500).otherwise(200).alias("status"),
     )
-    profiles = company_profiles(listings.unionByName(articles), rules)
+    profiles = company_profiles(written(listings.unionByName(articles), "crawl"), rules)
     return profiles.select("company_id", "news", "news_fields.title", "news_fields.url")
 
 
@@ -225,7 +225,7 @@ def supplier_pages(spark: SparkSession, sf: str, rules: DataFrame) -> DataFrame:
 
 def supplier_profiles(spark: SparkSession, sf: str) -> DataFrame:
     rules = supplier_rules(spark, sf)
-    pages = supplier_pages(spark, sf, rules)
+    pages = written(supplier_pages(spark, sf, rules), "crawl")
     rule_columns = rules.drop("s_suppkey", "s_name", "template")
     return company_profiles(pages, rule_columns, run_date=datetime.date(2025, 9, 1))
 

@@ -26,7 +26,10 @@ NUMBER_PART = r"(?U)[-_]\d+"
 IMAGE_EXTENSION = r"(?idu)\.(png|jpg|jpeg|webp)$"
 
 # Runs of letters that have case, and runs of everything else.
-_CASE_RUNS = r"[\p{IsUppercase}\p{IsLowercase}\p{Lt}]+|[^\p{IsUppercase}\p{IsLowercase}\p{Lt}]+"
+_CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
+_CASE_RUNS = rf"[{_CASED}]+|[^{_CASED}]+"
+# A capital sigma inside a word: letters follow, if need be after marks that do not end a word.
+_INNER_SIGMA = rf"(?<=[{_CASED}])Σ(?=[\p{{Mn}}\p{{Me}}\p{{Cf}}\p{{Lm}}\p{{Sk}}'.:·’‘․‧]*[{_CASED}])"
 
 
 def _drop(text: Column, *patterns: str) -> Column:
@@ -54,7 +57,8 @@ def name_from_address(address: Column) -> Column:
 
 def title_case(text: Column) -> Column:
     """Capital after anything that is not a letter, small letters elsewhere."""
-    runs = F.regexp_extract_all(text, F.lit(_CASE_RUNS), F.lit(0))
+    inner = F.regexp_replace(text, _INNER_SIGMA, "σ")
+    runs = F.regexp_extract_all(inner, F.lit(_CASE_RUNS), F.lit(0))
     return F.array_join(F.transform(runs, F.initcap), "")
 
 

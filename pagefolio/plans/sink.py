@@ -8,15 +8,24 @@ PARTITIONS = ["updt_date", "filename"]
 # Formats without nested types get the three texts and the partition columns only.
 FLAT_FORMATS = frozenset(["csv", "excel", "com.crealytics.spark.excel"])
 
+# Texts span lines, hold quotes and end in line breaks, all of which must survive. Null is
+# \\N and "" an empty cell. Use the same options to read the files.
+CSV_OPTIONS = {
+    "header": True,
+    "multiLine": True,
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def write_profiles(profiles: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
     """Write one partition per run date and source; other partitions at ``path`` stay."""
     if fmt in FLAT_FORMATS:
         profiles = profiles.select("description", "clients", "news", *PARTITIONS)
     if fmt == "csv":
-        # Texts span lines and hold commas; null and "" must stay apart.
-        options = {"header": True, "multiLine": True, "escape": '"', "nullValue": "\\N",
-                   "emptyValue": "", **options}
+        options = {**CSV_OPTIONS, **options}
     (
         profiles.write.format(fmt)
         .mode("overwrite")
