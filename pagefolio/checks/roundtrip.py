@@ -357,19 +357,17 @@ def brand_first_names(spark: SparkSession, sf: str) -> DataFrame:
 def two_page_union(spark: SparkSession, sf: str) -> DataFrame:
     """Images of two pages per block, first page first, each name once."""
     rows = table(spark, sf, "part", "p_partkey", "p_name", "p_size")
-    block = F.floor(F.col("p_partkey") / BLOCK)
     image = el("img", src=F.concat(F.lit("/p/"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".png")))
-    images = matched(F.col("nodes"), selector(*tags("img")))
-    read = rendered(rows, page(image), "p_partkey", "p_size").select(
-        block.alias("block"), "p_size", "p_partkey", image_names(images, F.lit("B")).alias("names")
-    )
     # Large parts are on the first page, all parts on the second.
-    first_page = read.filter("p_size > 40").withColumn("priority", F.lit(0))
-    both = first_page.unionByName(read.withColumn("priority", F.lit(1)))
-    positioned = both.select(
-        "block", F.struct("priority", "p_partkey").alias("pos"), F.explode("names").alias("name")
+    first_page = rows.filter("p_size > 40").withColumn("priority", F.lit(0))
+    both = first_page.unionByName(rows.withColumn("priority", F.lit(1)))
+    images = matched(F.col("nodes"), selector(*tags("img")))
+    names = rendered(both, page(image), "p_partkey", "priority").select(
+        F.floor(F.col("p_partkey") / BLOCK).alias("block"),
+        F.struct("priority", "p_partkey").alias("pos"),
+        F.explode(image_names(images, F.lit("B"))).alias("name"),
     )
-    names = ordered_list(ordered_distinct(positioned, ["block"], "name", "pos"), ["block"], "name", "pos")
+    names = ordered_list(ordered_distinct(names, ["block"], "name", "pos"), ["block"], "name", "pos")
     return names.select("block", joined(F.col("names"), F.lit(None)).alias("clients"))
 
 

@@ -32,6 +32,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+# Up to this many keys are given to the scan as a filter, so that it can skip row groups.
+PUSHED_KEYS = 1000
+
+
+def few_keys(df: DataFrame, key: str) -> list | None:
+    """The distinct values of ``key`` if they are at most ``PUSHED_KEYS``, else None."""
+    keys = [row[0] for row in df.select(key).distinct().limit(PUSHED_KEYS + 1).collect()]
+    return keys if len(keys) <= PUSHED_KEYS else None
+
+
 def latest_crawl(pages: DataFrame, urls: DataFrame) -> DataFrame:
     """``url, page_id, status`` of the newest row (largest ``page_id``) of each wanted URL.
 
@@ -39,13 +49,20 @@ def latest_crawl(pages: DataFrame, urls: DataFrame) -> DataFrame:
     aggregated, so a URL that was crawled very often is reduced before the shuffle.
     """
     narrow = with_status(pages).select("url", "page_id", "status")
-    return (
-        narrow.join(size_checked(urls.distinct()), "url", "left_semi")
-        .groupBy("url")
-        .agg(F.max("page_id").alias("page_id"), F.max_by("status", "page_id").alias("status"))
+    keys = few_keys(urls, "url")
+    if keys is None:
+        wanted = narrow.join(size_checked(urls.distinct()), "url", "left_semi")
+    else:
+        wanted = narrow.filter(F.col("url").isin(keys))
+    return wanted.groupBy("url").agg(
+        F.max("page_id").alias("page_id"), F.max_by("status", "page_id").alias("status")
     )
 
 
 def fetch(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     """HTML of the wanted pages, with the columns of ``wanted`` (``page_id`` and others)."""
-    return pages.select("page_id", "html").join(size_checked(wanted), "page_id")
+    found = pages.select("page_id", "html")
+    keys = few_keys(wanted, "page_id")
+    if keys is not None:
+        found = found.filter(F.col("page_id").isin(keys))
+    return found.join(size_checked(wanted), "page_id")

@@ -9,6 +9,7 @@ from pagefolio.functions.selectors import alt, pick, tags
 from pagefolio.operators.choose import choose_candidate, is_served
 from pagefolio.operators.lists import joined, ordered_distinct, ordered_list
 from pagefolio.plans.profile import company_profiles
+from pagefolio.sources import pages as pages_source
 from pagefolio.sources import scratch
 from pagefolio.sources.pages import latest_crawl, spread, with_status
 from pagefolio.sources.rules import rules_table
@@ -72,10 +73,12 @@ def crawl_of(spark, pages):
     return spark.createDataFrame(rows, "page_id long, url string, html string, status int")
 
 
-@pytest.mark.parametrize("broadcast_bytes", [scratch.BROADCAST_BYTES, 0])
-def test_many_specs_and_a_hot_article(spark, monkeypatch, broadcast_bytes):
+@pytest.mark.parametrize("is_small", [True, False])
+def test_many_specs_and_a_hot_article(spark, monkeypatch, is_small):
     """200 companies read one page by different rules, and most link to one article."""
-    monkeypatch.setattr(scratch, "BROADCAST_BYTES", broadcast_bytes)
+    if not is_small:
+        monkeypatch.setattr(scratch, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(pages_source, "PUSHED_KEYS", 0)
     page = "".join(f'<p class="c{i}">text {i}</p>' for i in range(200)) + '<a href="/n">News</a>'
     pages = crawl_of(spark, {"https://a/": page, "https://a/n": "<h1>T</h1><time>May</time>"})
     rows = []
@@ -124,3 +127,17 @@ def test_empty_fields(spark):
     ]
     got = company_profiles(pages, rules_table(spark, rows)).collect()
     assert [r.description for r in got] == ["none", "none"]
+
+
+def test_pushed_keys(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    crawl_of(spark, {f"https://a/{i}": "<p>x</p>" for i in range(50)}).write.parquet(path)
+    pages = spark.read.parquet(path)
+    urls = spark.createDataFrame([("https://a/7",), ("https://a/9",)], "url string")
+    crawl = latest_crawl(pages, urls)
+    assert {r.page_id for r in crawl.collect()} == {7, 9}
+    plan = crawl._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(url" in plan and "html" not in plan
+    html = pages_source.fetch(pages, crawl.select("page_id"))
+    assert "PushedFilters: [In(page_id" in html._jdf.queryExecution().executedPlan().toString()
+    assert html.count() == 2
