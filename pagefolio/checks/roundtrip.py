@@ -47,7 +47,7 @@ def text_regex_author(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
     by_line = F.when(F.col("c_mktsegment") != "BUILDING", el("i", "\n  By ", F.col("c_name"), " "))
     html = page(el("p", "Nearby", el("b", "x")), by_line, el("i", "By  the way"))
-    return rendered(rows, html, "c_custkey").select(
+    return rendered(rows, html, "c_custkey", with_strings=True).select(
         "c_custkey",
         field(pick(string_pattern=BY_SPACE, remove="By", default="N/A")).alias("author_name"),
         field(pick(string_pattern=BY_BLANK, default="N/A")).alias("author_line"),
@@ -71,7 +71,7 @@ def published_by_split(spark: SparkSession, sf: str) -> DataFrame:
     )
     html = page(el("div", "Topics: ", F.col("o_orderpriority"), " "), el("div", line))
     label = {"string_pattern": "Published By:", "remove": "Published By:", "split_on": " on "}
-    return rendered(rows, html, "o_orderkey").select(
+    return rendered(rows, html, "o_orderkey", with_strings=True).select(
         "o_orderkey",
         field(pick(string_pattern="Topics:", remove="Topics:", default="N/A")).alias("topic"),
         field(pick(**label, split_part=0, default="N/A")).alias("author"),
@@ -84,7 +84,7 @@ def year_text_date(spark: SparkSession, sf: str) -> DataFrame:
     key = F.format_string("Order 1%05d and A1998", "o_orderkey")
     day = F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "MMMM d, yyyy"))
     html = page(el("p", key), el("p", " ", day, " "), el("p", "since"))
-    return rendered(rows, html, "o_orderkey").select(
+    return rendered(rows, html, "o_orderkey", with_strings=True).select(
         "o_orderkey", field(pick(string_pattern=YEAR, default="N/A")).alias("date")
     )
 
@@ -94,7 +94,7 @@ def time_tag_date(spark: SparkSession, sf: str) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     shown = el("time", " ", el("b", F.date_format("o_orderdate", "d.M.yyyy")), datetime=day)
     html = page(F.when(F.col("o_orderstatus") != "F", shown), el("p", day))
-    return rendered(rows, html, "o_orderkey").select(
+    return rendered(rows, html, "o_orderkey", with_strings=True).select(
         "o_orderkey", field(pick(tags("time"), default="N/A")).alias("date")
     )
 
@@ -458,7 +458,7 @@ def news_layout(name: str):
             (field(fields[f]) if f in fields else F.lit(None).cast("string")).alias(f)
             for f in FIELDS
         ]
-        docs = rendered(rows, html, "o_orderkey").withColumn(
+        docs = rendered(rows, html, "o_orderkey", with_strings=True).withColumn(
             "fields", F.struct(url.alias("url"), *values)
         )
         return docs.select("o_orderkey", layout(F.col("fields"), F.lit(name)).alias("news"))

@@ -14,14 +14,17 @@ def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf}/{name}.parquet").select(*columns), columns[0])
 
 
-def page_docs(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+def page_docs(
+    spark: SparkSession, sf: str, *columns: str, with_strings: bool = False
+) -> DataFrame:
     """The documents of all crawled pages."""
-    return explode_html(table(spark, sf, "pages", "page_id", *columns, "html"))
+    pages = table(spark, sf, "pages", "page_id", *columns, "html")
+    return explode_html(pages, with_strings=with_strings)
 
 
-def rendered(rows: DataFrame, html: Column, *keys: str) -> DataFrame:
+def rendered(rows: DataFrame, html: Column, *keys: str, with_strings: bool = False) -> DataFrame:
     """Documents of pages that are rendered from table rows, one page per row."""
-    return explode_html(rows.select(*keys, html.alias("html")))
+    return explode_html(rows.select(*keys, html.alias("html")), with_strings=with_strings)
 
 
 def el(name: str, *content: Column | str, **attrs: Column | str) -> Column:

@@ -9,7 +9,8 @@ Output per page
 ``text``     stripped text of the page; the text of any element is one slice of it
 ``nodes``    elements in document order; ``id`` is the position in the array (from 0)
              and the descendants of an element are the ids in ``(id, last]``
-``strings``  text nodes, comments and declarations in document order, unstripped
+``strings``  text nodes, comments and declarations in document order, unstripped; left out
+             where the caller does not need them
 """
 
 from __future__ import annotations
@@ -45,9 +46,9 @@ _PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9-]*)>")
 DOC_DDL = (
     "text string, "
     "nodes array<struct<id:int,last:int,parent:int,tag:string,class_attr:string,"
-    "attrs:map<string,string>,own_string:string,start:int,len:int,words:int>>, "
-    "strings array<struct<parent:int,kind:string,text:string>>"
+    "attrs:map<string,string>,own_string:string,start:int,len:int,words:int>>"
 )
+STRINGS_DDL = "strings array<struct<parent:int,kind:string,text:string>>"
 
 
 class PageReader(HTMLParser):
@@ -57,8 +58,10 @@ class PageReader(HTMLParser):
     up to the nearest open element of its name or is ignored.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, attrs: list[str] | None = None, with_strings: bool = True) -> None:
         super().__init__(convert_charrefs=False)
+        self.kept_attrs = attrs  # None: all
+        self.with_strings = with_strings
         # One entry per page.
         self.page_text: list[str | None] = []
         self.node_ends = [0]
@@ -119,11 +122,10 @@ class PageReader(HTMLParser):
         if self.open:
             self.child_count[-1] += 1
             self.child_string[-1] = text
-            self.string_parent.append(self.open[-1] - self.first)
-        else:
-            self.string_parent.append(-1)
-        self.string_kind.append(kind)
-        self.string_text.append(text)
+        if self.with_strings:
+            self.string_parent.append(self.open[-1] - self.first if self.open else -1)
+            self.string_kind.append(kind)
+            self.string_text.append(text)
         if shown and (kind == "text" or kind == "cdata"):
             # Strings are joined without a gap, so the words at the seams become one.
             self.text.append(shown)
@@ -151,6 +153,8 @@ class PageReader(HTMLParser):
         if attrs:
             klass = attrs.pop("class", None)
             self.class_attr.append(None if klass is None else " ".join(klass.split()))
+            if self.kept_attrs is not None:
+                attrs = {name: attrs[name] for name in self.kept_attrs if name in attrs}
             self.attr_names.extend(attrs.keys())
             self.attr_values.extend(attrs.values())
         else:
@@ -310,29 +314,39 @@ class PageReader(HTMLParser):
             ],
             "id last parent tag class_attr attrs own_string start len words".split(),
         )
-        strings = pa.StructArray.from_arrays(
-            [
-                pa.array(self.string_parent, int32),
-                pa.array(self.string_kind, string),
-                pa.array(self.string_text, string),
-            ],
-            ["parent", "kind", "text"],
-        )
-        return [
+        columns = [
             pa.array(self.page_text, string),
             pa.ListArray.from_arrays(pa.array(self.node_ends, int32), nodes, mask=missing),
-            pa.ListArray.from_arrays(pa.array(self.string_ends, int32), strings, mask=missing),
         ]
+        if self.with_strings:
+            strings = pa.StructArray.from_arrays(
+                [
+                    pa.array(self.string_parent, int32),
+                    pa.array(self.string_kind, string),
+                    pa.array(self.string_text, string),
+                ],
+                ["parent", "kind", "text"],
+            )
+            columns.append(
+                pa.ListArray.from_arrays(pa.array(self.string_ends, int32), strings, mask=missing)
+            )
+        return columns
 
 
-def read_pages(batches: Iterator[pa.RecordBatch], html_col: str) -> Iterator[pa.RecordBatch]:
-    """Replace the HTML column of each batch by the three document columns."""
+def read_pages(
+    batches: Iterator[pa.RecordBatch],
+    html_col: str,
+    attrs: list[str] | None = None,
+    with_strings: bool = True,
+) -> Iterator[pa.RecordBatch]:
+    """Replace the HTML column of each batch by the document columns."""
+    names = ["text", "nodes", "strings"] if with_strings else ["text", "nodes"]
     for batch in batches:
         kept = [n for n in batch.schema.names if n != html_col]
         pages = batch.column(html_col)
         begin = 0
         while begin < batch.num_rows:
-            reader, chars, end = PageReader(), 0, begin
+            reader, chars, end = PageReader(attrs, with_strings), 0, begin
             while end < batch.num_rows and chars < CHUNK_CHARS:
                 html = pages[end].as_py()
                 chars += len(html or "")
@@ -340,6 +354,6 @@ def read_pages(batches: Iterator[pa.RecordBatch], html_col: str) -> Iterator[pa.
                 end += 1
             carried = [batch.column(n).slice(begin, end - begin) for n in kept]
             yield pa.RecordBatch.from_arrays(
-                carried + reader.arrays(), names=kept + ["text", "nodes", "strings"]
+                carried + reader.arrays(), names=kept + names
             )
             begin = end

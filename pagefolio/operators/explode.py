@@ -5,20 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagefolio.functions.html import DOC_DDL, read_pages
+from pagefolio.functions.html import DOC_DDL, STRINGS_DDL, read_pages
 from pagefolio.functions.selectors import text_of
 
 
-def explode_html(pages: DataFrame, html_col: str = "html") -> DataFrame:
+def explode_html(
+    pages: DataFrame,
+    html_col: str = "html",
+    attrs: list[str] | None = None,
+    with_strings: bool = True,
+) -> DataFrame:
     """Replace ``html_col`` by ``text``, ``nodes`` and ``strings``; keep the other columns.
 
     Neither filters nor column pruning pass through the Python stage, so callers narrow
-    ``pages`` to the wanted rows and columns first. A null page gives a null document.
+    ``pages`` to the wanted rows and columns first, and may name the attributes to keep (besides
+    the class) and leave out the strings. A null page gives a null document.
     """
     kept = [f for f in pages.schema.fields if f.name != html_col]
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    schema = f"{names}, {DOC_DDL}" if kept else DOC_DDL
-    return pages.mapInArrow(lambda batches: read_pages(batches, html_col), schema)
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [DOC_DDL]
+    if with_strings:
+        columns.append(STRINGS_DDL)
+    return pages.mapInArrow(
+        lambda batches: read_pages(batches, html_col, attrs, with_strings), ", ".join(columns)
+    )
 
 
 def elements(docs: DataFrame, *keys: str, with_text: bool = False) -> DataFrame:

@@ -15,7 +15,7 @@ from pagefolio.functions.selectors import (
     text_of,
 )
 from pagefolio.operators.explode import explode_html
-from pagefolio.sources.pages import fetch
+from pagefolio.sources.pages import few_keys, fetch
 from pagefolio.sources.scratch import size_checked
 
 
@@ -62,15 +62,38 @@ def article_values(docs: DataFrame) -> DataFrame:
     )
 
 
+def page_attrs(spec: Column) -> Column:
+    """Names of the attributes that a page spec looks at."""
+    p = spec["pick"]
+    return F.concat(F.array(F.lit("src"), F.lit("href")), _attrs(p))
+
+
+def article_attrs(spec: Column) -> Column:
+    """Names of the attributes that an article spec looks at."""
+    picks = F.array(*[spec["fields"][name] for name in FIELDS])
+    return F.concat(_alt_attrs(spec["gate"]), F.flatten(F.transform(picks, _attrs)))
+
+
+def _attrs(p: Column) -> Column:
+    return F.concat(*[_alt_attrs(p[part]) for part in ("match", "container", "fallback")])
+
+
+def _alt_attrs(alts: Column) -> Column:
+    return F.coalesce(F.transform(alts, lambda a: a["attr"]), F.array().cast("array<string>"))
+
+
 # Specs per row of a page. A page with more of them is read once per group of this size.
 SPECS_PER_ROW = 64
 
 
-def evaluated(wanted: DataFrame, specs: DataFrame, pages: DataFrame, values) -> DataFrame:
+def evaluated(
+    wanted: DataFrame, specs: DataFrame, pages: DataFrame, values, attrs, with_strings: bool
+) -> DataFrame:
     """``wanted`` with the values of its ``spec_key`` on its ``page_id``.
 
     A page is read once, however many rows point to it, and a spec is evaluated once per page;
-    the rows then only pick up the narrow result. ``specs`` has ``spec_key`` and ``spec``.
+    the rows then only pick up the narrow result. ``specs`` has ``spec_key`` and ``spec``;
+    ``attrs`` gives the attributes that a spec looks at.
     """
     by_page = Window.partitionBy("page_id").orderBy("spec_key")
     found = wanted.filter("page_id is not null")
@@ -82,10 +105,22 @@ def evaluated(wanted: DataFrame, specs: DataFrame, pages: DataFrame, values) ->
         .agg(F.collect_list("spec_key").alias("spec_keys"))
         .drop("group")
     )
-    docs = explode_html(fetch(pages, groups)).withColumn("spec_key", F.explode("spec_keys"))
-    results = values(docs.join(size_checked(specs), "spec_key"))
+    names = specs.select(F.explode(attrs(F.col("spec"))).alias("name")).filter("name is not null")
+    docs = explode_html(
+        fetch(pages, groups), attrs=few_keys(names, "name"), with_strings=with_strings
+    )
+    by_spec = docs.withColumn("spec_key", F.explode("spec_keys"))
+    results = values(by_spec.join(size_checked(specs), "spec_key"))
     # Rows without a page stay out of the join, where they would all share one key.
     missing = wanted.filter("page_id is null")
     return found.join(results, ["page_id", "spec_key"], "left").unionByName(
         missing, allowMissingColumns=True
     )
+
+
+def evaluated_outputs(wanted: DataFrame, specs: DataFrame, pages: DataFrame) -> DataFrame:
+    return evaluated(wanted, specs, pages, page_values, page_attrs, with_strings=False)
+
+
+def evaluated_articles(wanted: DataFrame, specs: DataFrame, pages: DataFrame) -> DataFrame:
+    return evaluated(wanted, specs, pages, article_values, article_attrs, with_strings=True)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pagefolio.functions.links import absolute, requested
 from pagefolio.functions.news import FIELDS, layout
 from pagefolio.operators.choose import choose_candidate, is_served
-from pagefolio.operators.extract import article_values, evaluated, page_values
+from pagefolio.operators.extract import evaluated_articles, evaluated_outputs
 from pagefolio.operators.lists import joined
 from pagefolio.sources.pages import latest_crawl
 from pagefolio.sources.scratch import written
@@ -78,7 +78,7 @@ def choose_pages(rules: DataFrame, pages: DataFrame) -> DataFrame:
 def read_outputs(chosen: DataFrame, rules: DataFrame, pages: DataFrame) -> DataFrame:
     """Descriptions, client names and listing links."""
     wanted = chosen.filter("output != 'article'").withColumnRenamed("page_key", "spec_key")
-    return evaluated(wanted, specs_of(rules, "page"), pages, page_values)
+    return evaluated_outputs(wanted, specs_of(rules, "page"), pages)
 
 
 def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) ->
 def news_items(articles: DataFrame, rules: DataFrame, pages: DataFrame) -> DataFrame:
     """``news`` and ``news_fields`` of every company with an article."""
     wanted = articles.withColumnRenamed("article_key", "spec_key")
-    read = evaluated(wanted, specs_of(rules, "article"), pages, article_values)
+    read = evaluated_articles(wanted, specs_of(rules, "article"), pages)
     fields = F.struct(
         F.col("article_url").alias("url"), *[F.col(f"fields.{f}").alias(f) for f in FIELDS]
     )

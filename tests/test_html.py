@@ -88,6 +88,16 @@ def test_null_and_chunks():
     assert rows[3]["text"] == pages[3][3:]
 
 
+def test_pruning():
+    reader = PageReader(["src", "nope"], with_strings=False)
+    reader.read('<p class="c" id="i" src="s" style="x">a<b>b</b></p>')
+    text, nodes = (a.to_pylist()[0] for a in reader.arrays())
+    assert text == "ab"
+    assert [(n["class_attr"], dict(n["attrs"]), n["own_string"]) for n in nodes] == [
+        ("c", {"src": "s"}, None), (None, {}, "b"),
+    ]
+
+
 class StandardReader(PageReader):
     """The reader without its shortcuts."""
 
