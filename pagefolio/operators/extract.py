@@ -16,7 +16,7 @@ from pagefolio.functions.selectors import (
 )
 from pagefolio.operators.explode import explode_html
 from pagefolio.sources.pages import few_keys, fetch
-from pagefolio.sources.scratch import size_checked
+from pagefolio.sources.scratch import size_checked, written
 
 
 def image_names(images: Column, cleaner: Column) -> Column:
@@ -95,6 +95,7 @@ def evaluated(
     the rows then only pick up the narrow result. ``specs`` has ``spec_key`` and ``spec``;
     ``attrs`` gives the attributes that a spec looks at.
     """
+    specs = written(specs, "specs")
     by_page = Window.partitionBy("page_id").orderBy("spec_key")
     found = wanted.filter("page_id is not null")
     groups = (
@@ -107,7 +108,7 @@ def evaluated(
     )
     names = specs.select(F.explode(attrs(F.col("spec"))).alias("name")).filter("name is not null")
     docs = explode_html(
-        fetch(pages, groups), attrs=few_keys(names, "name"), with_strings=with_strings
+        fetch(pages, written(groups, "groups")), attrs=few_keys(names, "name"), with_strings=with_strings
     )
     by_spec = docs.withColumn("spec_key", F.explode("spec_keys"))
     results = values(by_spec.join(size_checked(specs), "spec_key"))

@@ -27,6 +27,7 @@ from pagefolio.operators.choose import choose_candidate, is_served
 from pagefolio.operators.extract import evaluated_articles, evaluated_outputs
 from pagefolio.operators.lists import joined
 from pagefolio.sources.pages import latest_crawl
+from pagefolio.sources.rules import SPEC_DDL
 from pagefolio.sources.scratch import written
 
 COMPANY = ["company_id", "company"]
@@ -45,25 +46,25 @@ def of_companies(rules: DataFrame, company_ids: Iterable[str] | DataFrame | None
 
 
 def prepared(rules: DataFrame) -> DataFrame:
-    """Rules with their selectors set apart as ``page_spec`` and ``article_spec``, each with a key.
+    """Rules with their selectors folded into ``page_spec`` and ``article_spec``, each with a key.
 
-    Sites that share a layout share their specs, so the keys stand for much larger values.
+    Sites that share a layout share their specs. As texts these take next to no room in a
+    written table, and the keys stand for them wherever rows are moved.
     """
     return (
         rules.withColumn("request_url", requested(F.col("url")))
-        .withColumn("page_spec", F.struct("output", "pick", "cleaner"))
-        .withColumn("article_spec", F.struct("gate", "fields"))
+        .withColumn("page_spec", F.to_json(F.struct("output", "pick", "cleaner")))
+        .withColumn("article_spec", F.to_json(F.struct("gate", "fields")))
         .drop("pick", "cleaner", "gate", "fields")
-        .withColumn("page_key", F.md5(F.to_json("page_spec")))
-        .withColumn("article_key", F.md5(F.to_json("article_spec")))
+        .withColumn("page_key", F.md5("page_spec"))
+        .withColumn("article_key", F.md5("article_spec"))
     )
 
 
 def specs_of(rules: DataFrame, kind: str) -> DataFrame:
-    """The distinct specs of a kind (``page`` or ``article``)."""
-    return rules.select(
-        F.col(f"{kind}_key").alias("spec_key"), F.col(f"{kind}_spec").alias("spec")
-    ).distinct()
+    """``spec_key, spec``: the distinct specs of a kind (``page`` or ``article``)."""
+    texts = rules.select(F.col(f"{kind}_key").alias("spec_key"), f"{kind}_spec").distinct()
+    return texts.select("spec_key", F.from_json(f"{kind}_spec", SPEC_DDL[kind]).alias("spec"))
 
 
 def choose_pages(rules: DataFrame, pages: DataFrame) -> DataFrame:

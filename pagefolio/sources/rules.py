@@ -27,12 +27,18 @@ from pyspark.sql import functions as F
 from pagefolio.functions.news import FIELDS
 from pagefolio.functions.selectors import ALT_DDL, PICK_DDL
 
+FIELDS_DDL = f"struct<{','.join(f'{f}:{PICK_DDL}' for f in FIELDS)}>"
 RULE_DDL = (
     "struct<company_id:string,company:string,output:string,part:int,priority:int,url:string,"
     f"check_status:boolean,pick:{PICK_DDL},cleaner:string,distinct_names:boolean,"
     f"empty_value:string,base_url:string,no_link_text:string,gate:{ALT_DDL},"
-    f"fields:struct<{','.join(f'{f}:{PICK_DDL}' for f in FIELDS)}>,layout:string>"
+    f"fields:{FIELDS_DDL},layout:string>"
 )
+# What is evaluated on a page, and on an article.
+SPEC_DDL = {
+    "page": f"struct<output:string,pick:{PICK_DDL},cleaner:string>",
+    "article": f"struct<gate:{ALT_DDL},fields:{FIELDS_DDL}>",
+}
 
 
 def rule(row: dict) -> Column:
