@@ -10,7 +10,7 @@ from pagefolio.sources.scratch import size_checked
 
 def read_pages_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """``page_id, url, html, status`` from storage; pages without a status count as 200."""
-    return with_status(spark.read.format(fmt).load(path))
+    return with_status(spread(spark.read.format(fmt).load(path), "page_id"))
 
 
 def with_status(pages: DataFrame) -> DataFrame:

@@ -132,7 +132,8 @@ def test_empty_fields(spark):
 def test_pushed_keys(spark, tmp_path):
     path = str(tmp_path / "pages")
     crawl_of(spark, {f"https://a/{i}": "<p>x</p>" for i in range(50)}).write.parquet(path)
-    pages = spark.read.parquet(path)
+    pages = pages_source.read_pages_table(spark, path)
+    assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     urls = spark.createDataFrame([("https://a/7",), ("https://a/9",)], "url string")
     crawl = latest_crawl(pages, urls)
     assert {r.page_id for r in crawl.collect()} == {7, 9}

@@ -1,5 +1,7 @@
 """Selectors on small hand-written pages."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +107,43 @@ def test_row_views(spark):
     ]
     strings = text_nodes(d, "page_id").orderBy("pos").collect()
     assert [(s.parent_id, s.kind, s.text) for s in strings] == [(0, "text", "x"), (1, "text", "y")]
+
+
+def test_containers_against_parents(spark):
+    """Id ranges give what walking up the parents gives, on random badly nested pages."""
+    rng = random.Random(11)
+    pieces = ['<div class="a">', '<div class="b">', '<section class="a b">', "<p>", "<p>", "x ",
+              "</div>", "</section>", "</p>", "<br>"]
+    pages = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    d = explode_html(spark.createDataFrame(list(enumerate(pages)), "k int, html string").repartition(8))
+    nodes = F.col("nodes")
+    ids = lambda alts: F.transform(matched(nodes, selector(*alts)), lambda n: n["id"])
+    within = [alt("p", within=cond(classes=["a"]))]
+    either = [*within, alt("br", within=cond("div", class_eq="b")), alt("p", child_of=cond("p"))]
+    boxed = pick_constant(match=tags("p"), container=[alt("div", ["b"])], nth=1)
+    rows = d.select(
+        "k",
+        F.transform(nodes, lambda n: F.struct(n["id"], n["parent"], n["tag"], n["class_attr"])).alias("shape"),
+        ids(within).alias("within"),
+        ids(either).alias("either"),
+        pick_node(nodes, boxed)["id"].alias("boxed"),
+    ).collect()
+    hits = 0
+    for row in rows:
+        def above(node):
+            while node.parent >= 0:
+                node = row.shape[node.parent]
+                yield node
+
+        in_a = [n.id for n in row.shape if n.tag == "p"
+                and any("a" in (m.class_attr or "").split() for m in above(n))]
+        others = [n.id for n in row.shape
+                  if n.tag == "br" and any((m.tag, m.class_attr) == ("div", "b") for m in above(n))
+                  or n.tag == "p" and n.parent >= 0 and row.shape[n.parent].tag == "p"]
+        box = next((n for n in row.shape if (n.tag, n.class_attr) == ("div", "b")), None)
+        in_box = [n.id for n in row.shape if n.tag == "p" and box and any(m is box for m in above(n))]
+        assert row.within == in_a
+        assert row.either == sorted({*in_a, *others})
+        assert row.boxed == (in_box[1] if len(in_box) > 1 else None)
+        hits += len(in_a) + len(in_box)
+    assert len(rows) == 400 and hits > 1000
