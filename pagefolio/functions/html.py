@@ -36,12 +36,13 @@ ASCII_BLANKS = " \n\t\f\r"
 # Pages are handed back to the JVM in chunks of about this many characters of HTML.
 CHUNK_CHARS = 4_000_000
 
-# Tags in their plainest form; everything else is left to the standard parser.
-_PLAIN_START = re.compile(
-    r'<([a-zA-Z][a-zA-Z0-9-]*)((?:\s+[a-zA-Z][a-zA-Z0-9:_.-]*="[^"&]*")*)\s*>'
+# Tags in their plainest form, after text without references; everything else is left to the
+# standard parser.
+_PLAIN_TAG = re.compile(
+    r"([^<&]*)<(?:/([a-zA-Z][a-zA-Z0-9-]*)>|"
+    r'([a-zA-Z][a-zA-Z0-9-]*)((?:\s+[a-zA-Z][a-zA-Z0-9:_.-]*="[^"&]*")*)\s*>)'
 )
 _PLAIN_ATTR = re.compile(r'\s([a-zA-Z][a-zA-Z0-9:_.-]*)="([^"]*)"')
-_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9-]*)>")
 
 DOC_DDL = (
     "text string, "
@@ -265,23 +266,30 @@ class PageReader(HTMLParser):
         return j  # line numbers are not needed
 
     def parse_starttag(self, i):
-        plain = _PLAIN_START.match(self.rawdata, i)
-        if plain is None:
-            return super().parse_starttag(i)
-        tag, attrs = plain[1].lower(), plain[2]
-        self._open_element(
-            tag, {name.lower(): value for name, value in _PLAIN_ATTR.findall(attrs)} if attrs else {}
-        )
-        if tag in self.CDATA_CONTENT_ELEMENTS:
-            self.set_cdata_mode(tag)
-        return plain.end()
+        end = self._plain_tags(i)
+        return super().parse_starttag(i) if end == i else end
 
     def parse_endtag(self, i):
-        plain = None if self.cdata_elem else _PLAIN_END.match(self.rawdata, i)
-        if plain is None:
-            return super().parse_endtag(i)
-        self.handle_endtag(plain[1].lower())
-        return plain.end()
+        end = i if self.cdata_elem else self._plain_tags(i)
+        return super().parse_endtag(i) if end == i else end
+
+    def _plain_tags(self, i: int) -> int:
+        """Take in plain tags, and the text between them, as far as they go from ``i``."""
+        while plain := _PLAIN_TAG.match(self.rawdata, i):
+            text, closed, opened, attrs = plain.groups()
+            i = plain.end()
+            if text:
+                self.pending.append(text)
+            if closed:
+                self.handle_endtag(closed.lower())
+                continue
+            opened = opened.lower()
+            values = _PLAIN_ATTR.findall(attrs) if attrs else ()
+            self._open_element(opened, {name.lower(): value for name, value in values})
+            if opened in self.CDATA_CONTENT_ELEMENTS:
+                self.set_cdata_mode(opened)
+                break
+        return i
 
     def parse_marked_section(self, i, report=1):
         try:
