@@ -251,6 +251,13 @@ def profile_write_read(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def profile_csv_read(spark: SparkSession, sf: str) -> DataFrame:
+    """The three texts written as CSV by date and company and read back."""
+    path = f"{shared_folder(spark)}/profiles-csv-{uuid.uuid4().hex}"
+    write_profiles(supplier_profiles(spark, sf), path, "csv")
+    return read_profiles(spark, path, "csv")
+
+
 def site_dispatch(spark: SparkSession, sf: str) -> DataFrame:
     """Rules of the suppliers whose key is among the customers' nations; other ids do nothing."""
     ids = spark.read.parquet(f"{sf}/customer.parquet").select(
@@ -265,6 +272,7 @@ QUERIES = {
     "site_dispatch": site_dispatch,
     "company_profile": company_profile,
     "profile_write_read": profile_write_read,
+    "profile_csv_read": profile_csv_read,
 }
 
 # -- SQL ---------------------------------------------------------------------------------------
@@ -390,4 +398,8 @@ ORACLES = {
         SELECT company_id, {unless_missing("description", "clients", "news")},
                DATE '2025-09-01' AS updt_date, company AS filename
         FROM profiles""",
+    "profile_csv_read": f"""{SUPPLIER_PROFILES}
+        SELECT {unless_missing("description", "clients", "news")},
+               DATE '2025-09-01' AS updt_date, company AS filename
+        FROM profiles""",
 }

@@ -9,7 +9,7 @@ from pagefolio.functions.selectors import pick_node, pick_string, text_of
 from pagefolio.functions.text import strip
 
 FIELDS = ("topic", "title", "date", "author", "summary")
-NEWS_FIELDS_DDL = "struct<url:string,topic:string,title:string,date:string,author:string,summary:string>"
+NEWS_FIELDS_DDL = f"struct<url:string,{','.join(f'{f}:string' for f in FIELDS)}>"
 
 # The text form of a news item. Each part is left out when its field is null.
 LAYOUTS = {

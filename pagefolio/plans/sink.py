@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagefolio.functions.news import NEWS_FIELDS_DDL
+
 PARTITIONS = ["updt_date", "filename"]
 # Formats without nested types get the three texts and the partition columns only.
 FLAT_FORMATS = frozenset(["csv", "excel", "com.crealytics.spark.excel"])
@@ -36,14 +38,16 @@ def write_profiles(profiles: DataFrame, path: str, fmt: str = "parquet", **optio
     )
 
 
-def read_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """Profiles written as Parquet, with the partition columns in their own types."""
-    return spark.read.schema(PROFILE_DDL).parquet(path)
+def read_profiles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Written profiles, with the partition columns in their own types."""
+    if fmt == "csv":
+        return spark.read.options(**CSV_OPTIONS).schema(FLAT_DDL).csv(path)
+    return spark.read.format(fmt).schema(PROFILE_DDL).load(path)
 
 
 PROFILE_DDL = (
     "company_id string, company string, description string, clients string, "
-    "client_names array<string>, news string, "
-    "news_fields struct<url:string,topic:string,title:string,date:string,author:string,"
-    "summary:string>, updt_date date, filename string"
+    f"client_names array<string>, news string, news_fields {NEWS_FIELDS_DDL}, "
+    "updt_date date, filename string"
 )
+FLAT_DDL = "description string, clients string, news string, updt_date date, filename string"

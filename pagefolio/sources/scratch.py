@@ -21,9 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pagefolio-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="pagefolio-"))
+    return context.getCheckpointDir()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

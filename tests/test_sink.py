@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from pagefolio.plans.profile import stamped
-from pagefolio.plans.sink import CSV_OPTIONS, PROFILE_DDL, read_profiles, write_profiles
+from pagefolio.plans.sink import PROFILE_DDL, read_profiles, write_profiles
 
 DAY, NEXT = datetime.date(2025, 9, 1), datetime.date(2025, 9, 2)
 ROWS = [
@@ -31,8 +31,9 @@ def test_partition_overwrite(spark, tmp_path):
 def test_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
     write_profiles(spark.createDataFrame(ROWS, PROFILE_DDL), path, "csv")
-    read = spark.read.options(**CSV_OPTIONS).csv(path)
+    read = read_profiles(spark, path, "csv")
     got = {r.filename: (r.description, r.clients, r.news) for r in read.collect()}
+    assert {r.updt_date for r in read.collect()} == {DAY}
     assert got == {"A": ("text\n\"quoted\", more", "x,y", "url: u\n\n"), "B": (None, "", None)}
 
 
