@@ -111,7 +111,10 @@ def evaluated(
         fetch(pages, written(groups, "groups")), attrs=few_keys(names, "name"), with_strings=with_strings
     )
     by_spec = docs.withColumn("spec_key", F.explode("spec_keys"))
-    results = values(by_spec.join(size_checked(specs), "spec_key"))
+    # A page that is stored in copies gives one result; the join below needs the same shuffle.
+    results = values(by_spec.join(size_checked(specs), "spec_key")).dropDuplicates(
+        ["page_id", "spec_key"]
+    )
     # Rows without a page stay out of the join, where they would all share one key.
     missing = wanted.filter("page_id is null")
     return found.join(results, ["page_id", "spec_key"], "left").unionByName(
