@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagefolio.llm import language_id, quality_rules
+from pagefolio.llm import language_id, packing, quality_rules, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -23,9 +24,20 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(docs.select("doc_id", held_out, "text"), model)
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages", "page_id", "url")).drop("log_odds")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op8_url_filter": op8_url_filter,
+    "op10_packing": op10_packing,
 }
 
 # The words of a text in DuckDB. Its regular expressions know the six ASCII white space characters.
