@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagefolio.llm import language_id, packing, quality_rules, url_filter
+from pagefolio.llm import language_id, packing, page_text, quality_rules, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages", "page_id", "url")).drop("log_odds")
 
 
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return page_text.main_texts(pages, page_text.train(pages)).drop("n_blocks")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -37,6 +42,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op8_url_filter": op8_url_filter,
+    "op9_page_text": op9_page_text,
     "op10_packing": op10_packing,
 }
 
