@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagefolio.llm import language_id, packing, page_text, quality_rules, url_filter
+from pagefolio.llm import byte_bpe, language_id, packing, page_text, quality_rules, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encoded(docs, ranks, public_tokenizers.PATTERN, digests=True)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -39,6 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op8_url_filter": op8_url_filter,
