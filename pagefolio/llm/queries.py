@@ -6,13 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagefolio.llm import byte_bpe, language_id, packing, page_text, quality_rules, url_filter
+from pagefolio.llm import (
+    byte_bpe,
+    language_id,
+    near_duplicates,
+    packing,
+    page_text,
+    quality_rules,
+    url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates.near_duplicate_groups(docs, size=2).drop("class_id")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,6 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
