@@ -12,6 +12,7 @@ from pagefolio.llm import (
     near_duplicates,
     packing,
     page_text,
+    personal_data,
     quality_rules,
     url_filter,
 )
@@ -43,6 +44,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(docs.select("doc_id", held_out, "text"), model)
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return personal_data.personal_spans(docs, personal_data.train(docs))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages", "page_id", "url")).drop("log_odds")
 
@@ -62,6 +68,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op7_personal_data": op7_personal_data,
     "op8_url_filter": op8_url_filter,
     "op9_page_text": op9_page_text,
     "op10_packing": op10_packing,
