@@ -10,6 +10,7 @@ from pagefolio.llm import (
     byte_bpe,
     language_id,
     near_duplicates,
+    neighbour_graph,
     packing,
     page_text,
     personal_data,
@@ -33,6 +34,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded(docs, ranks, public_tokenizers.PATTERN, digests=True)
 
 
+def op4_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.embedding_groups(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -66,6 +71,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_embedding_groups": op4_embedding_groups,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_personal_data": op7_personal_data,
