@@ -11,6 +11,7 @@ from pagefolio.llm import (
     language_id,
     near_duplicates,
     neighbour_graph,
+    ngram_trie,
     packing,
     page_text,
     personal_data,
@@ -23,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    learned = language_id.remainder(F.col("doc_id"), 7) != 2
+    scored = ngram_trie.scored_texts(docs, learned)
+    return scored.withColumn("held_out", ~F.col("learned")).drop("learned")
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_duplicates.near_duplicate_groups(docs, size=2).drop("class_id")
@@ -69,6 +77,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_trie": op1_ngram_trie,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_embedding_groups": op4_embedding_groups,
