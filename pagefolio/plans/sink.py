@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pagefolio.functions.news import NEWS_FIELDS_DDL
+from pagefolio.sources.scratch import written
 
-PARTITIONS = ["updt_date", "filename"]
-# Formats without nested types get the three texts and the partition columns only.
+# What tells one row from another; a row written again replaces the old one.
+KEY = ["updt_date", "filename", "company_id"]
+# Formats without nested types get the three texts and the key columns only.
 FLAT_FORMATS = frozenset(["csv", "excel", "com.crealytics.spark.excel"])
 
 # Texts span lines, hold quotes and end in line breaks, all of which must survive. Null is
@@ -22,27 +27,60 @@ CSV_OPTIONS = {
 }
 
 
-def write_profiles(profiles: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """Write one partition per run date and source; other partitions at ``path`` stay."""
+def write_profiles(
+    profiles: DataFrame, path: str, fmt: str = "parquet", buckets: int | None = None, **options
+) -> None:
+    """Write profiles; rows of other dates, sources and companies at ``path`` stay.
+
+    By default every date, source and company id is a partition, so a run for one company never
+    touches another. That is one folder per company; a run for very many gives ``buckets``, the
+    number of folders per date (the same on every run): companies are dealt out to them by a hash
+    of their id, and the rows that stay in the touched folders are written again with the new ones.
+    """
     if fmt in FLAT_FORMATS:
-        profiles = profiles.select("description", "clients", "news", *PARTITIONS)
+        profiles = profiles.select("description", "clients", "news", *KEY)
     if fmt == "csv":
         options = {**CSV_OPTIONS, **options}
+    partitions = KEY
+    if buckets:
+        partitions = ["updt_date", "bucket"]
+        profiles = _with_survivors(written(bucketed(profiles, buckets), "profiles"), path, fmt, options)
+        # One task per folder, so that a folder is one file.
+        profiles = profiles.repartition(*partitions)
     (
         profiles.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*partitions)
         .save(path)
     )
 
 
+def bucketed(profiles: DataFrame, buckets: int) -> DataFrame:
+    return profiles.withColumn("bucket", F.pmod(F.xxhash64("company_id"), F.lit(buckets)).cast("int"))
+
+
+def _with_survivors(new: DataFrame, path: str, fmt: str, options: dict) -> DataFrame:
+    """``new`` and the rows at ``path`` that share a folder with it but no key."""
+    try:
+        old = new.sparkSession.read.options(**options).format(fmt).schema(new.schema).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return new
+    touched = new.select("updt_date", "bucket").distinct()
+    same_key = [old[c].eqNullSafe(new[c]) for c in KEY]
+    stay = old.join(touched, ["updt_date", "bucket"], "left_semi").join(new, same_key, "left_anti")
+    # Written first: the folders it is read from are about to be replaced.
+    return new.unionByName(written(stay.select(new.columns), "survivors"))
+
+
 def read_profiles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Written profiles, with the partition columns in their own types."""
-    if fmt == "csv":
-        return spark.read.options(**CSV_OPTIONS).schema(FLAT_DDL).csv(path)
-    return spark.read.format(fmt).schema(PROFILE_DDL).load(path)
+    ddl, options = (FLAT_DDL, CSV_OPTIONS) if fmt == "csv" else (PROFILE_DDL, {})
+    rows = spark.read.format(fmt).options(**options).schema(ddl).load(path)
+    return rows.select(*StructType.fromDDL(ddl).names)
 
 
 PROFILE_DDL = (
@@ -50,4 +88,6 @@ PROFILE_DDL = (
     f"client_names array<string>, news string, news_fields {NEWS_FIELDS_DDL}, "
     "updt_date date, filename string"
 )
-FLAT_DDL = "description string, clients string, news string, updt_date date, filename string"
+FLAT_DDL = (
+    "description string, clients string, news string, updt_date date, filename string, company_id string"
+)

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagefolio.plans.profile import stamped
@@ -42,3 +43,20 @@ def test_stamp(spark):
     row = stamped(df).first()
     assert row.filename == "A"
     assert row.updt_date == df.select(F.current_date()).first()[0]
+
+
+def renamed(df, company_id, text):
+    return df.filter("company = 'A'").withColumns({"company_id": F.lit(company_id), "description": F.lit(text)})
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 3])
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_run_leaves_other_companies(spark, tmp_path, buckets, fmt):
+    """Two ids of one source and day, an id with leading zeros, and a second run for one of them."""
+    path = str(tmp_path / "profiles")
+    df = spark.createDataFrame(ROWS, PROFILE_DDL)
+    write_profiles(renamed(df, "18533", "one"), path, fmt, buckets)
+    write_profiles(renamed(df, "06134", "two"), path, fmt, buckets)
+    write_profiles(renamed(df, "18533", "three").unionByName(df.filter("company = 'B'")), path, fmt, buckets)
+    got = {r.company_id: (r.filename, r.description) for r in read_profiles(spark, path, fmt).collect()}
+    assert got == {"18533": ("A", "three"), "06134": ("A", "two"), "2": ("B", None)}
