@@ -110,7 +110,9 @@ def _meets(node: Column, c: Column) -> Column:
 
 def _meets_alone(node: Column, a: Column) -> Column:
     """The element's own side of an alternative: tag, class, attribute, string."""
-    value = F.try_element_at(node["attrs"], a["attr"])
+    value = F.when(a["attr"] == "class", node["class_attr"]).otherwise(
+        F.try_element_at(node["attrs"], a["attr"])
+    )
     return _meets(node, a) & F.coalesce(
         (a["attr"].isNull() | value.isNotNull())
         & (a["attr_sub"].isNull() | value.contains(a["attr_sub"]))
@@ -123,6 +125,19 @@ def inside(node: Column, box: Column) -> Column:
     return (node["id"] > box["id"]) & (node["id"] <= box["last"])
 
 
+def outermost(nodes: Column) -> Column:
+    """``id, last`` of the elements, in document order, that lie in none of the others.
+
+    An element inside another adds nothing to "inside any".
+    """
+    bounds = F.transform(nodes, lambda n: F.struct(n["id"].alias("id"), n["last"].alias("last")))
+    empty = F.filter(bounds, lambda b: F.lit(False))
+    end = lambda kept: F.coalesce(F.try_element_at(kept, F.lit(-1))["last"], F.lit(-1))
+    return F.aggregate(
+        bounds, empty, lambda kept, b: F.when(b["id"] > end(kept), F.concat(kept, F.array(b))).otherwise(kept)
+    )
+
+
 def matched(nodes: Column, alts: Column) -> Column:
     """Elements that meet any alternative, in document order, each once.
 
@@ -131,10 +146,7 @@ def matched(nodes: Column, alts: Column) -> Column:
     """
 
     def prepared(a: Column) -> Column:
-        boxes = F.transform(
-            F.filter(nodes, lambda n: _meets(n, a["within"])),
-            lambda n: F.struct(n["id"].alias("id"), n["last"].alias("last")),
-        )
+        boxes = outermost(F.filter(nodes, lambda n: _meets(n, a["within"])))
         return F.struct(
             a.alias("alt"),
             F.when(a["within"].isNotNull() & ~a["within_parent"], boxes).alias("boxes"),
@@ -160,8 +172,8 @@ def first(items: Column) -> Column:
 
 
 def matched_sets(nodes: Column, p: Column) -> Column:
-    """What ``match``, ``container`` and ``fallback`` of a pick match, as an array of three."""
-    selectors = F.array(p["match"], p["container"], p["fallback"])
+    """What ``match`` and ``container`` of a pick match, as an array of two."""
+    selectors = F.array(p["match"], p["container"])
     return F.transform(selectors, lambda alts: matched(nodes, alts))
 
 
@@ -173,16 +185,19 @@ def in_container(sets: Column, p: Column) -> Column:
     )
 
 
-def chosen_node(sets: Column, p: Column) -> Column:
-    """The nth match with more than ``min_words`` words, else the first ``fallback`` match."""
+def chosen_node(nodes: Column, sets: Column, p: Column) -> Column:
+    """The nth match with more than ``min_words`` words, else the first ``fallback`` match.
+
+    The fallback is only looked for where it is needed.
+    """
     enough = F.filter(
         in_container(sets, p), lambda n: p["min_words"].isNull() | (n["words"] > p["min_words"])
     )
-    return F.coalesce(F.get(enough, p["nth"]), first(F.get(sets, F.lit(2))))
+    return F.coalesce(F.get(enough, p["nth"]), first(matched(nodes, p["fallback"])))
 
 
 def pick_node(nodes: Column, p: Column) -> Column:
-    return let(matched_sets(nodes, p), lambda sets: chosen_node(sets, p))
+    return let(matched_sets(nodes, p), lambda sets: chosen_node(nodes, sets, p))
 
 
 def text_of(text: Column, node: Column) -> Column:

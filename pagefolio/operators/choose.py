@@ -19,7 +19,11 @@ def choose_candidate(candidates: DataFrame, *keys: str) -> DataFrame:
     stays. Only the best row per task and key is shuffled.
     """
     is_ok = F.coalesce(F.col("status") == 200, F.lit(False))
-    order = [is_ok.desc(), F.when(is_ok, F.col("priority")).otherwise(-F.col("priority"))]
+    order = [
+        is_ok.desc(),
+        F.when(is_ok, F.col("priority")).otherwise(-F.col("priority")),
+        F.col("page_id").desc(),
+    ]
     best = Window.partitionBy(*keys).orderBy(*order)
     usable = is_served(F.col("status")) | ~F.coalesce(F.col("check_status"), F.lit(True))
     return (

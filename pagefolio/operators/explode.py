@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagefolio.functions import html as page_reader
 from pagefolio.functions.html import DOC_DDL, STRINGS_DDL, read_pages
 from pagefolio.functions.selectors import text_of
 
+# Ships the page reader with its tasks, so that workers need not have the package installed.
+cloudpickle.register_pickle_by_value(page_reader)
+
 
 def explode_html(
     pages: DataFrame,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagefolio.functions.names import client_name
@@ -14,6 +14,7 @@ from pagefolio.functions.selectors import (
     matched_sets,
     text_of,
 )
+from pagefolio.functions.text import let
 from pagefolio.operators.explode import explode_html
 from pagefolio.sources.pages import few_keys, fetch
 from pagefolio.sources.scratch import size_checked, written
@@ -27,39 +28,40 @@ def image_names(images: Column, cleaner: Column) -> Column:
     return F.filter(names, lambda name: name.isNotNull())
 
 
-def page_values(docs: DataFrame) -> DataFrame:
-    """Adds ``text``, ``names`` and ``href`` by the spec ``(output, pick, cleaner)`` of each row."""
-    output, p, node = F.col("spec.output"), F.col("spec.pick"), F.col("node")
-    # Client lists need all matches of a pick, the other outputs need one.
-    return (
-        docs.withColumn("sets", matched_sets(F.col("nodes"), p))
-        .withColumn("node", F.when(output != "clients", chosen_node(F.col("sets"), p)))
-        .withColumn("images", F.when(output == "clients", in_container(F.col("sets"), p)))
-        .select(
-            "page_id",
-            "spec_key",
-            F.when(
-                output == "description", F.coalesce(text_of(F.col("text"), node), p["default"])
-            ).alias("text"),
-            image_names(F.col("images"), F.col("spec.cleaner")).alias("names"),
-            F.when(output == "news", F.try_element_at(node["attrs"], F.lit("href"))).alias("href"),
+def page_values(spec: Column) -> Column:
+    """``text, names, href`` by a spec ``(output, pick, cleaner)``, from a document's columns."""
+    nodes, output, p = F.col("nodes"), spec["output"], spec["pick"]
+
+    def values(sets: Column) -> Column:
+        # Client lists need all matches of a pick, the other outputs need one.
+        node = F.when(output != "clients", chosen_node(nodes, sets, p))
+        images = F.when(output == "clients", in_container(sets, p))
+        return let(
+            node,
+            lambda node: F.struct(
+                F.when(
+                    output == "description", F.coalesce(text_of(F.col("text"), node), p["default"])
+                ).alias("text"),
+                image_names(images, spec["cleaner"]).alias("names"),
+                F.when(output == "news", F.try_element_at(node["attrs"], F.lit("href"))).alias("href"),
+            ),
         )
-    )
+
+    return let(matched_sets(nodes, p), values)
 
 
-def article_values(docs: DataFrame) -> DataFrame:
-    """Adds ``fields`` by the spec ``(gate, fields)`` of each row."""
+def article_values(spec: Column) -> Column:
+    """``fields`` by a spec ``(gate, fields)``, from a document's columns."""
     text, nodes, strings = F.col("text"), F.col("nodes"), F.col("strings")
-    gate = F.col("spec.gate")
-    is_open = gate.isNull() | (F.size(matched(nodes, gate)) > 0)
-    picks = F.array(*[F.col(f"spec.fields.{name}") for name in FIELDS])
+    is_open = spec["gate"].isNull() | (F.size(matched(nodes, spec["gate"])) > 0)
+    picks = F.array(*[spec["fields"][name] for name in FIELDS])
     values = F.transform(
         picks, lambda p: F.when(p.isNotNull(), field_value(text, nodes, strings, p))
     )
-    fields = F.struct(*[F.get("values", F.lit(i)).alias(f) for i, f in enumerate(FIELDS)])
-    return docs.withColumn("values", F.when(is_open, values)).select(
-        "page_id", "spec_key", F.when(F.col("values").isNotNull(), fields).alias("fields")
+    fields = let(
+        values, lambda v: F.struct(*[F.get(v, F.lit(i)).alias(f) for i, f in enumerate(FIELDS)])
     )
+    return F.struct(F.when(is_open & F.col("nodes").isNotNull(), fields).alias("fields"))
 
 
 def page_attrs(spec: Column) -> Column:
@@ -82,42 +84,54 @@ def _alt_attrs(alts: Column) -> Column:
     return F.coalesce(F.transform(alts, lambda a: a["attr"]), F.array().cast("array<string>"))
 
 
-# Specs per row of a page. A page with more of them is read once per group of this size.
+# Specs per row of a page, about. A page with more of them is read in several rows.
 SPECS_PER_ROW = 64
+PAGE = ["page_id", "page_url"]
 
 
 def evaluated(
     wanted: DataFrame, specs: DataFrame, pages: DataFrame, values, attrs, with_strings: bool
 ) -> DataFrame:
-    """``wanted`` with the values of its ``spec_key`` on its ``page_id``.
+    """``wanted`` with the values of its ``spec_key`` on its page.
 
     A page is read once, however many rows point to it, and a spec is evaluated once per page;
     the rows then only pick up the narrow result. ``specs`` has ``spec_key`` and ``spec``;
     ``attrs`` gives the attributes that a spec looks at.
+
+    Specs meet their pages before any HTML is read and travel along in the row of the page. So
+    documents are never shuffled or sorted, and a spec that most pages share is no key of theirs.
     """
     specs = written(specs, "specs")
-    by_page = Window.partitionBy("page_id").orderBy("spec_key")
+    rows = -(-specs.count() // SPECS_PER_ROW) or 1
     found = wanted.filter("page_id is not null")
     groups = (
-        found.select("page_id", "spec_key")
+        found.select(*PAGE, "spec_key")
         .distinct()
-        .withColumn("group", F.floor((F.row_number().over(by_page) - 1) / SPECS_PER_ROW))
-        .groupBy("page_id", "group")
-        .agg(F.collect_list("spec_key").alias("spec_keys"))
+        .join(size_checked(specs), "spec_key")
+        .groupBy(*PAGE, F.pmod(F.xxhash64("spec_key"), F.lit(rows)).alias("group"))
+        .agg(F.collect_list(F.struct("spec_key", "spec")).alias("specs"))
         .drop("group")
     )
     names = specs.select(F.explode(attrs(F.col("spec"))).alias("name")).filter("name is not null")
     docs = explode_html(
         fetch(pages, written(groups, "groups")), attrs=few_keys(names, "name"), with_strings=with_strings
     )
-    by_spec = docs.withColumn("spec_key", F.explode("spec_keys"))
-    # A page that is stored in copies gives one result; the join below needs the same shuffle.
-    results = values(by_spec.join(size_checked(specs), "spec_key")).dropDuplicates(
-        ["page_id", "spec_key"]
-    )
+    results = docs.select(
+        *PAGE,
+        F.explode(
+            F.transform(
+                "specs",
+                lambda s: F.struct(s["spec_key"].alias("spec_key"), values(s["spec"]).alias("found")),
+            )
+        ).alias("result"),
+    ).select(*PAGE, "result.*")
+    # A page that is stored in copies gives one result, the same for any order of the rows. It is
+    # written, so that adaptive execution can split a page that very many rows point to.
+    results = results.groupBy(*PAGE, "spec_key").agg(F.max("found").alias("found"))
+    results = written(results.select(*PAGE, "spec_key", "found.*"), "results")
     # Rows without a page stay out of the join, where they would all share one key.
     missing = wanted.filter("page_id is null")
-    return found.join(results, ["page_id", "spec_key"], "left").unionByName(
+    return found.join(results, [*PAGE, "spec_key"], "left").unionByName(
         missing, allowMissingColumns=True
     )
 

@@ -42,7 +42,8 @@ def of_companies(rules: DataFrame, company_ids: Iterable[str] | DataFrame | None
         return rules
     if isinstance(company_ids, DataFrame):
         return rules.join(company_ids.select("company_id"), "company_id", "left_semi")
-    return rules.filter(F.col("company_id").isin(*company_ids))
+    ids = [company_ids] if isinstance(company_ids, str) else list(company_ids)
+    return rules.filter(F.col("company_id").isin(ids))
 
 
 def prepared(rules: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def read_outputs(chosen: DataFrame, rules: DataFrame, pages: DataFrame) -> DataF
 
 def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) -> DataFrame:
     """The article of every company: at a fixed address, or behind the link of its listing."""
-    columns = [*COMPANY, "article_url", "article_key", "layout", "page_id"]
+    columns = [*COMPANY, "article_url", "article_key", "layout", "page_id", "page_url"]
     fixed = (
         chosen.filter("output = 'article' and page_id is not null")
         .withColumn("article_url", F.col("url"))
@@ -94,11 +95,11 @@ def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) ->
         outputs.filter("output = 'news' and href is not null")
         .withColumn("article_url", absolute(F.col("href"), F.col("base_url")))
         .withColumn("request_url", requested(F.col("article_url")))
-        .drop("page_id")
+        .drop("page_id", "page_url")
     )
     crawl = latest_crawl(pages, links.select(F.col("request_url").alias("url")))
     served = crawl.filter(is_served(F.col("status"))).select(
-        F.col("url").alias("request_url"), "page_id"
+        F.col("url").alias("request_url"), "page_id", "page_url"
     )
     linked = links.join(served, "request_url", "left").select(*columns)
     return linked.unionByName(fixed)
@@ -150,8 +151,13 @@ def assemble(rules: DataFrame, outputs: DataFrame, news: DataFrame) -> DataFrame
         F.bool_or(F.when(is_clients & (F.col("part") == 0), F.col("found"))).alias("found"),
         F.bool_or("distinct_names").alias("distinct_names"),
         F.max("empty_value").alias("empty_value"),
-        F.max("news").alias("news"),
-        F.max("news_fields").alias("news_fields"),
+        # The text and its fields come from one row: one with fields, if there is one.
+        F.max(
+            F.when(
+                F.col("news").isNotNull() | F.col("news_fields").isNotNull(),
+                F.struct(F.col("news_fields").isNotNull(), "news_fields", "news"),
+            )
+        ).alias("item"),
     )
     names = F.when(F.col("distinct_names"), F.array_distinct("all_names")).otherwise(
         F.col("all_names")
@@ -161,8 +167,8 @@ def assemble(rules: DataFrame, outputs: DataFrame, news: DataFrame) -> DataFrame
         "description",
         F.when(F.col("found"), joined(F.col("client_names"), F.col("empty_value"))).alias("clients"),
         "client_names",
-        "news",
-        "news_fields",
+        "item.news",
+        "item.news_fields",
     )
 
 
@@ -181,7 +187,8 @@ def company_profiles(
     """Profiles of all companies in ``rules``, or of those with the given ids.
 
     ``pages``: ``page_id, url, html`` and, if known, ``status``. The URL is the address as
-    requested, without fragment. Steps 1 and 2 run when this is called.
+    requested, without fragment; a root may lack its slash. A page is known by ``page_id`` and
+    ``url`` together, and a null status counts as 200. Steps 1 and 2 run when this is called.
     """
     rules = written(prepared(of_companies(rules, company_ids)), "rules")
     chosen = written(choose_pages(rules, pages), "chosen")

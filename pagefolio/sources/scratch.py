@@ -25,6 +25,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_WRITTEN: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this driver. Call it once results are stored elsewhere."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -33,6 +44,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -41,11 +53,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def size_checked(df: DataFrame) -> DataFrame:
-    """``df`` as the smaller side of a join: broadcast if its rows measure small, else sorted.
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` measure small.
 
     File sizes say little about repetitive nested columns, so the rows themselves are
     measured. ``df`` should be cheap to compute, such as a projection of a written table.
     """
     size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
+    return size <= BROADCAST_BYTES
+
+
+def size_checked(df: DataFrame) -> DataFrame:
+    """``df`` as the smaller side of a join: broadcast if its rows measure small, else sorted."""
+    return F.broadcast(df) if fits_broadcast(df) else df.hint("merge")

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagefolio.functions.selectors import alt, pick, tags
+from pagefolio.operators import extract
 from pagefolio.operators.choose import choose_candidate, is_served
 from pagefolio.operators.lists import joined, ordered_distinct, ordered_list
+from pagefolio.operators.prune import only_needed
 from pagefolio.plans.profile import company_profiles
 from pagefolio.sources import pages as pages_source
 from pagefolio.sources import scratch
@@ -51,6 +53,68 @@ def test_latest_crawl(spark):
     assert with_status(pages.drop("status")).first().status == 200
 
 
+def test_page_identity(spark):
+    """Roots without a slash, null statuses and one id for two addresses, in any order of the rows."""
+    rows = [
+        (1, "https://a", "<p>old a</p>", 200), (7, "https://a", "<p>a</p>", None),
+        (7, "https://b/", "<p>b</p>", 200), (8, "https://c?x", "<p>c</p>", None), (9, "https://d/", "<p>d</p>", 404),
+    ]
+    rules = rules_table(spark, [
+        {"company_id": c, "company": c, "output": "description", "part": 0, "priority": 0,
+         "url": f"https://{c}" + ("?x" if c == "c" else ""), "check_status": True, "pick": pick(tags("p"))}
+        for c in "abcd"
+    ])
+    for seed in range(2):
+        mixed = random.Random(seed).sample(rows, len(rows))
+        crawl = spark.createDataFrame(mixed, "page_id long, url string, html string, status int")
+        got = {r.company: r.description for r in company_profiles(crawl, rules).collect()}
+        assert got == {"a": "a", "b": "b", "c": "c", "d": None}
+    only = company_profiles(crawl, rules, company_ids="a").collect()
+    assert [r.company for r in only] == ["a"]
+    scratch.remove_written(spark)
+
+
+def test_only_needed(spark):
+    rows = spark.range(20_000).withColumn("x", F.col("id") * 7)
+    wanted = spark.range(0, 40_000, 1000).withColumnRenamed("id", "k")
+    found = only_needed(rows, F.col("id"), wanted, F.col("k"))
+    ids = {r.id for r in found.collect()}
+    assert found.columns == rows.columns and ids >= set(range(0, 20_000, 1000)) and len(ids) < 100
+
+
+def test_html_is_pruned_before_its_shuffle(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scratch, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(pages_source, "PUSHED_KEYS", 0)
+    path = str(tmp_path / "pages")
+    crawl_of(spark, {f"https://a/{i}": "<p>x</p>" for i in range(50)}).write.parquet(path)
+    pages = spark.read.parquet(path)
+    wanted = spark.createDataFrame([(3, "https://a/3")], "page_id long, page_url string")
+    html = pages_source.fetch(pages, wanted)
+    plan = html._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and html.count() == 1
+    # What goes over the exchange has passed the filter.
+    lines = plan.splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(page_id" in line)
+    assert any("BroadcastHashJoin" in line and "prune_part" in line for line in lines[exchange : exchange + 5])
+
+
+def test_documents_are_not_shuffled(spark, monkeypatch):
+    for limit in (scratch.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(scratch, "BROADCAST_BYTES", limit)
+        seen = []
+        monkeypatch.setattr(extract, "written", lambda df, name: seen.append((name, df)) or scratch.written(df, name))
+        pages = crawl_of(spark, {"https://a/": "<p>x</p>"})
+        rules = rules_table(spark, [
+            {"company_id": "1", "company": "c", "output": "description", "part": 0, "priority": 0,
+             "url": "https://a/", "check_status": True, "pick": pick(tags("p"))}
+        ])
+        company_profiles(pages, rules).collect()
+        results = dict(seen)["results"]._jdf.queryExecution().executedPlan().toString().splitlines()
+        reader = next(i for i, line in enumerate(results) if "MapInArrow" in line)
+        above = [line for line in results[:reader] if "Exchange" in line or "Sort " in line]
+        assert above and not any("nodes" in line for line in above)
+
+
 def test_lists(spark):
     rows = [(1, 3, "a"), (1, 1, "b"), (1, 2, "a"), (2, 1, "c"), (1, 4, "b")]
     df = spark.createDataFrame(rows, "g int, pos int, name string").repartition(4)
@@ -139,6 +203,6 @@ def test_pushed_keys(spark, tmp_path):
     assert {r.page_id for r in crawl.collect()} == {7, 9}
     plan = crawl._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(url" in plan and "html" not in plan
-    html = pages_source.fetch(pages, crawl.select("page_id"))
+    html = pages_source.fetch(pages, crawl.select("page_id", "page_url"))
     assert "PushedFilters: [In(page_id" in html._jdf.queryExecution().executedPlan().toString()
     assert html.count() == 2

@@ -24,7 +24,7 @@ def ordered(rows):
     return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [n for module in entry.BASE_MODULES for n in module.QUERIES])
 def test_query(spark, tables, name):
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)
