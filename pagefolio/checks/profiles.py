@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pagefolio.checks.roundtrip import capital
 from pagefolio.checks.tables import el, page, table
 from pagefolio.functions.selectors import pick
-from pagefolio.plans.profile import company_profiles, of_companies
+from pagefolio.functions.news import NEWS_FIELDS_DDL
+from pagefolio.plans.profile import company_profiles, of_companies, stamped
 from pagefolio.plans.sink import read_profiles, write_profiles
 from pagefolio.sources.rules import rule, rules_table
 from pagefolio.sources.scratch import shared_folder, written
@@ -125,7 +126,8 @@ def supplier_images(spark: SparkSession, sf: str) -> DataFrame:
 def supplier_pages(spark: SparkSession, sf: str, rules: DataFrame) -> DataFrame:
     """A crawl of all suppliers' sites, with an older copy of every page.
 
-    Nation 7 was not crawled. Where a rule has several candidate pages, the first one is missing
+    Every order is an article page of its supplier; listings and fixed addresses lead to the one
+    with the smallest key. Nation 7 was not crawled. Where a rule has several candidate pages, the first one is missing
     for even nations. Articles of orders with status F are missing.
     """
     suppliers = table(spark, sf, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
@@ -133,6 +135,10 @@ def supplier_pages(spark: SparkSession, sf: str, rules: DataFrame) -> DataFrame:
         spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
         "o_orderpriority",
     )
+    of_supplier = orders.withColumn("s_suppkey", F.floor(F.col("o_orderkey") / ORDERS))
+    first_orders = of_supplier.groupBy("s_suppkey").agg(
+        F.min_by(F.struct(*orders.columns), "o_orderkey").alias("o")
+    ).select("s_suppkey", "o.*")
     several = Window.partitionBy("s_suppkey", "output", "part")
     fixed = (
         rules.select("s_suppkey", "url", "output", "part", "priority")
@@ -164,7 +170,7 @@ def supplier_pages(spark: SparkSession, sf: str, rules: DataFrame) -> DataFrame:
         .withColumn("n", F.row_number().over(in_site))
         .join(suppliers, "s_suppkey")
         .join(supplier_images(spark, sf), "s_suppkey", "left")
-        .join(orders, orders.o_orderkey == F.col("s_suppkey") * ORDERS, "left")
+        .join(first_orders, "s_suppkey", "left")
     )
     path = F.regexp_extract("url", "^https://[^/]+(.*)$", 1)
     filler = F.when(F.col("s_acctbal") >= 0, F.repeat(F.lit("word "), 31))
@@ -220,7 +226,13 @@ def supplier_pages(spark: SparkSession, sf: str, rules: DataFrame) -> DataFrame:
         (F.col("page_id") - 1).alias("page_id"), "url", F.lit("<p>old</p>").alias("html"),
         F.lit(200).alias("status"),
     )
-    return current.unionByName(older)
+    others = of_supplier.select(
+        (-1 - F.col("o_orderkey")).alias("page_id"),
+        F.concat(F.lit("https://s"), "s_suppkey", F.lit(".example/order/"), "o_orderkey").alias("url"),
+        article.alias("html"),
+        F.lit(200).alias("status"),
+    )
+    return current.unionByName(older).unionByName(others)
 
 
 def supplier_profiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,7 +267,31 @@ def profile_csv_read(spark: SparkSession, sf: str) -> DataFrame:
     """The three texts written as CSV by date and company and read back."""
     path = f"{shared_folder(spark)}/profiles-csv-{uuid.uuid4().hex}"
     write_profiles(supplier_profiles(spark, sf), path, "csv")
-    return read_profiles(spark, path, "csv")
+    return read_profiles(spark, path, "csv").drop("company_id")
+
+
+def profile_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of one source per nation and day, written in two runs, some ids in both.
+
+    The first run writes the even ids with another text, the second the odd ones and every fourth
+    one again. ``company`` is the nation, so that very many ids share a source.
+    """
+    suppliers = table(spark, sf, "supplier", "s_suppkey", "s_name", "s_nationkey").select(
+        F.col("s_suppkey").cast("string").alias("company_id"),
+        F.concat(F.lit("nation "), F.col("s_nationkey")).alias("company"),
+        F.col("s_name").alias("description"),
+        (F.col("s_suppkey") % 4).alias("part"),
+    )
+    profiles = stamped(suppliers, datetime.date(2025, 9, 1))
+    for name in ("clients", "news"):
+        profiles = profiles.withColumn(name, F.lit(None).cast("string"))
+    profiles = profiles.withColumn("client_names", F.lit(None).cast("array<string>"))
+    profiles = profiles.withColumn("news_fields", F.lit(None).cast(NEWS_FIELDS_DDL))
+    first = profiles.filter("part % 2 = 0").withColumn("description", F.concat(F.lit("old "), "description"))
+    path = f"{shared_folder(spark)}/profiles-rerun-{uuid.uuid4().hex}"
+    write_profiles(first.drop("part"), path, buckets=4)
+    write_profiles(profiles.filter("part % 2 = 1 or part = 0").drop("part"), path, buckets=4)
+    return read_profiles(spark, path).select("company_id", "filename", "description", "updt_date")
 
 
 def site_dispatch(spark: SparkSession, sf: str) -> DataFrame:
@@ -273,6 +309,7 @@ QUERIES = {
     "company_profile": company_profile,
     "profile_write_read": profile_write_read,
     "profile_csv_read": profile_csv_read,
+    "profile_rerun": profile_rerun,
 }
 
 # -- SQL ---------------------------------------------------------------------------------------
@@ -312,7 +349,9 @@ SUPPLIER_PROFILES = f"""
            strftime(o_orderdate, '%B %-d, %Y') AS day,
            site IN ('SolarKal', 'H2scan', 'InfinitedFiber', 'Iogen', 'Hydrogenious') AS is_direct
     FROM supplier s JOIN {SITE_FACTS} ON s_suppkey % 15 = template
-    LEFT JOIN orders o ON o_orderkey = s_suppkey * {ORDERS}),
+    LEFT JOIN (SELECT *, o_orderkey // {ORDERS} AS supplier FROM orders
+               QUALIFY row_number() OVER (PARTITION BY supplier ORDER BY o_orderkey) = 1) o
+      ON supplier = s_suppkey),
   images AS (
     SELECT s_suppkey, images = 'all' AS is_a, p_partkey, i,
            CASE WHEN images = 'all'
@@ -402,4 +441,9 @@ ORACLES = {
         SELECT {unless_missing("description", "clients", "news")},
                DATE '2025-09-01' AS updt_date, company AS filename
         FROM profiles""",
+    "profile_rerun": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS company_id, 'nation ' || s_nationkey AS filename,
+               CASE WHEN s_suppkey % 4 = 2 THEN 'old ' ELSE '' END || s_name AS description,
+               DATE '2025-09-01' AS updt_date
+        FROM supplier""",
 }
