@@ -47,7 +47,7 @@ _PLAIN_ATTR = re.compile(r'\s([a-zA-Z][a-zA-Z0-9:_.-]*)="([^"]*)"')
 DOC_DDL = (
     "text string, "
     "nodes array<struct<id:int,last:int,parent:int,tag:string,class_attr:string,"
-    "attrs:map<string,string>,own_string:string,start:int,len:int,words:int>>"
+    "attrs:map<string,string>,own_string:string,own_at:int,start:int,len:int,words:int>>"
 )
 STRINGS_DDL = "strings array<struct<parent:int,kind:string,text:string>>"
 
@@ -76,7 +76,10 @@ class PageReader(HTMLParser):
         self.attr_ends = [0]
         self.attr_names: list[str] = []
         self.attr_values: list[str] = []
+        # The only string of an element: stored with the element that holds it, and for elements around
+        # it as the id of that element, so that nesting does not repeat it.
         self.own: list[str | None] = []
+        self.own_at: list[int | None] = []
         self.start: list[int] = []
         self.len: list[int] = []
         self.words: list[int] = []
@@ -110,6 +113,7 @@ class PageReader(HTMLParser):
         # Per open element: how many children it has, and the string of the only one.
         self.child_count: list[int] = []
         self.child_string: list[str | None] = []
+        self.child_own_at: list[int | None] = []
         self.pending: list[str] = []
         self.text: list[str] = []
         self.text_len = 0
@@ -122,7 +126,7 @@ class PageReader(HTMLParser):
             text = "\n" if "\n" in text else " "
         if self.open:
             self.child_count[-1] += 1
-            self.child_string[-1] = text
+            self.child_string[-1], self.child_own_at[-1] = text, None
         if self.with_strings:
             self.string_parent.append(self.open[-1] - self.first if self.open else -1)
             self.string_kind.append(kind)
@@ -162,6 +166,7 @@ class PageReader(HTMLParser):
             self.class_attr.append(None)
         self.attr_ends.append(len(self.attr_names))
         self.own.append(None)
+        self.own_at.append(None)
         self.start.append(self.text_len)
         # Until the element is closed this holds the gaps before it.
         self.words.append(self.spaces)
@@ -172,11 +177,12 @@ class PageReader(HTMLParser):
         if tag in VOID_TAGS:
             self._finish(len(self.tag) - 1)
             if self.open:
-                self.child_string[-1] = None
+                self.child_string[-1] = self.child_own_at[-1] = None
             return
         self.open.append(len(self.tag) - 1)
         self.child_count.append(0)
         self.child_string.append(None)
+        self.child_own_at.append(None)
         self.open_names[tag] = self.open_names.get(tag, 0) + 1
         if tag in HIDDEN_TEXT_TAGS:
             self.hidden.append(tag)
@@ -193,13 +199,14 @@ class PageReader(HTMLParser):
         tag = self.tag[node]
         self.last[node] = len(self.tag) - 1 - self.first
         self._finish(node)
-        only_string = self.child_string.pop()
-        if self.child_count.pop() == 1:
-            self.own[node] = only_string
-        else:
-            only_string = None
+        only_string, own_at = self.child_string.pop(), self.child_own_at.pop()
+        if self.child_count.pop() != 1:
+            own_at = None
+        elif only_string is not None:
+            self.own[node], own_at = only_string, node - self.first
+        self.own_at[node] = own_at
         if self.open:
-            self.child_string[-1] = only_string
+            self.child_string[-1], self.child_own_at[-1] = None, own_at
         self.open_names[tag] -= 1
         if tag in HIDDEN_TEXT_TAGS:
             self.hidden.pop()
@@ -316,11 +323,12 @@ class PageReader(HTMLParser):
                 pa.array(self.class_attr, string),
                 attrs,
                 pa.array(self.own, string),
+                pa.array(self.own_at, int32),
                 pa.array(self.start, int32),
                 pa.array(self.len, int32),
                 pa.array(self.words, int32),
             ],
-            "id last parent tag class_attr attrs own_string start len words".split(),
+            "id last parent tag class_attr attrs own_string own_at start len words".split(),
         )
         columns = [
             pa.array(self.page_text, string),

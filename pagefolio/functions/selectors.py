@@ -108,7 +108,12 @@ def _meets(node: Column, c: Column) -> Column:
     )
 
 
-def _meets_alone(node: Column, a: Column) -> Column:
+def own_string(nodes: Column, node: Column) -> Column:
+    """The only string of an element, however deep it lies in elements without others."""
+    return F.get(nodes, node["own_at"])["own_string"]
+
+
+def _meets_alone(nodes: Column, node: Column, a: Column) -> Column:
     """The element's own side of an alternative: tag, class, attribute, string."""
     value = F.when(a["attr"] == "class", node["class_attr"]).otherwise(
         F.try_element_at(node["attrs"], a["attr"])
@@ -116,7 +121,7 @@ def _meets_alone(node: Column, a: Column) -> Column:
     return _meets(node, a) & F.coalesce(
         (a["attr"].isNull() | value.isNotNull())
         & (a["attr_sub"].isNull() | value.contains(a["attr_sub"]))
-        & (a["string_pattern"].isNull() | F.rlike(node["own_string"], a["string_pattern"])),
+        & (a["string_pattern"].isNull() | F.rlike(own_string(nodes, node), a["string_pattern"])),
         F.lit(False),
     )
 
@@ -155,7 +160,7 @@ def matched(nodes: Column, alts: Column) -> Column:
     def meets(n: Column, p: Column) -> Column:
         a = p["alt"]
         parent = F.get(nodes, n["parent"])
-        return _meets_alone(n, a) & (
+        return _meets_alone(nodes, n, a) & (
             F.when(a["within"].isNull(), True)
             .when(a["within_parent"], _meets(parent, a["within"]))
             .otherwise(F.exists(p["boxes"], lambda b: inside(n, b)))

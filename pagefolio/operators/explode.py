@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagefolio.functions import html as page_reader
 from pagefolio.functions.html import DOC_DDL, STRINGS_DDL, read_pages
-from pagefolio.functions.selectors import text_of
+from pagefolio.functions.selectors import own_string, text_of
 
 # Ships the page reader with its tasks, so that workers need not have the package installed.
 cloudpickle.register_pickle_by_value(page_reader)
@@ -41,7 +41,10 @@ def elements(docs: DataFrame, *keys: str, with_text: bool = False) -> DataFrame:
     Texts of nested elements repeat each other, so ``with_text`` is best combined with a
     filter on the tags of interest.
     """
-    rows = docs.select(*keys, *(["text"] if with_text else []), F.explode("nodes").alias("node"))
+    nodes = F.transform(
+        "nodes", lambda n: F.struct(n.alias("node"), own_string(F.col("nodes"), n).alias("own_string"))
+    )
+    rows = docs.select(*keys, *(["text"] if with_text else []), F.inline(nodes))
     columns = [
         F.col("node.id").alias("node_id"),
         F.col("node.last").alias("last_id"),
@@ -50,7 +53,7 @@ def elements(docs: DataFrame, *keys: str, with_text: bool = False) -> DataFrame:
         "node.class_attr",
         F.split("node.class_attr", " ").alias("classes"),
         "node.attrs",
-        "node.own_string",
+        "own_string",
         "node.words",
     ]
     if with_text:

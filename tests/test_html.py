@@ -62,10 +62,17 @@ def test_attributes():
 
 def test_own_string():
     html = "<a><b>x</b></a><a>x<b>y</b></a><a><img></a><a>\n \n</a><a><!--c--></a><a></a>"
-    own = [n["own_string"] for n in read(html)[0] if n["tag"] == "a"]
+    nodes = read(html)[0]
+    own = [None if n["own_at"] is None else nodes[n["own_at"]]["own_string"] for n in nodes if n["tag"] == "a"]
     assert own == ["x", None, None, "\n", "c", None]
 
 
+def test_nested_tags_do_not_repeat_their_string():
+    nodes, _ = read("<b>" * 5000 + "x" * 1000)
+    assert sum(len(n["own_string"] or "") for n in nodes) == 1000
+    assert {n["own_at"] for n in nodes} == {4999}
+
+
 def test_strings_keep_blanks_where_they_count():
     _, strings = read("<!DOCTYPE html><p> \t </p><pre> \n\n </pre><p> a\n</p><script>s</script>")
     assert [(s["kind"], s["text"]) for s in strings] == [
