@@ -178,8 +178,8 @@ def train(docs: DataFrame) -> LanguageModel:
 
 
 def predictions(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` in place of ``text``."""
-    rest = [c for c in docs.columns if c != "text"]
+    """``docs`` with ``lang_pred`` and ``score`` in place of ``text`` and of columns of these names."""
+    rest = [c for c in docs.columns if c not in ("text", "lang_pred", "score")]
     ddl = docs.select(*rest).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
