@@ -92,7 +92,49 @@ QUERIES = {
 # The words of a text in DuckDB. Its regular expressions know the six ASCII white space characters.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+# ``links (a, b)`` to ``component``: the smallest id that links lead to.
+_COMPONENTS = """
+sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, other) AS (SELECT a, b FROM sym UNION SELECT reach.id, sym.b FROM reach JOIN sym ON sym.a = reach.other),
+component AS (SELECT id, least(id, min(other)) AS component_id FROM reach GROUP BY id)
+"""
+
 ORACLES = {
+    "op2_near_duplicates": rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS v
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.v = y.v AND x.doc_id < y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), {_COMPONENTS}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+  coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN component ON component.id = d.doc_id
+""",
+    "op4_embedding_groups": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.95
+), {_COMPONENTS},
+n AS (SELECT a, count(*) AS n FROM sym GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN component ON component.id = vec_id LEFT JOIN n ON n.a = vec_id
+""",
     # A window is the text of its eight words; words hold no spaces, so equal texts are equal windows.
     "op5_quality_rules": rf"""
 WITH d AS (
