@@ -303,9 +303,23 @@ def site_dispatch(spark: SparkSession, sf: str) -> DataFrame:
     return rules.groupBy("company_id", "company").agg(F.count("*").alias("n_rules"))
 
 
+def dispatch_by_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules by the ids of the known sites, one site per supplier, for a list of ids.
+
+    Sites have several ids, one, or none (null). The list names two of one site, one of another and
+    one that nobody has.
+    """
+    ids = [(str(i), company_id) for i, site in enumerate(SITES) for company_id in site["ids"]]
+    known = spark.createDataFrame(ids, "template string, company_id string")
+    rules = supplier_rules(spark, sf).drop("company_id").join(F.broadcast(known), "template")
+    found = of_companies(rules, ["18533", "6134", "400", "nobody"])
+    return found.groupBy("company_id", "s_suppkey").agg(F.count("*").alias("n_rules"))
+
+
 QUERIES = {
     "listing_to_article": listing_to_article,
     "site_dispatch": site_dispatch,
+    "dispatch_by_list": dispatch_by_list,
     "company_profile": company_profile,
     "profile_write_read": profile_write_read,
     "profile_csv_read": profile_csv_read,
@@ -430,6 +444,11 @@ ORACLES = {
                CAST(n_rules AS BIGINT) AS n_rules
         FROM supplier JOIN {SITE_FACTS} ON s_suppkey % 15 = template
         WHERE s_suppkey IN (SELECT c_nationkey FROM customer)""",
+    "dispatch_by_list": f"""
+        SELECT company_id, s_suppkey, CAST(n_rules AS BIGINT) AS n_rules
+        FROM supplier JOIN {SITE_FACTS} ON s_suppkey % 15 = template
+        JOIN (VALUES (4, '18533'), (4, '6134'), (10, '400')) AS i(site_number, company_id)
+          ON site_number = template""",
     "company_profile": f"""{SUPPLIER_PROFILES}
         SELECT company_id, company, {unless_missing("description", "clients", "n_names", "news", "summary")}
         FROM profiles""",
