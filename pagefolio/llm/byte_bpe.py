@@ -17,6 +17,7 @@ Null and empty texts have no ids.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import duckdb
@@ -113,8 +114,14 @@ DOCUMENTS = """
 SELECT d, CAST(sum(n) AS BIGINT) AS n, string_agg(ids, '' ORDER BY p) AS ids, string_agg(bytes, '' ORDER BY p) AS bytes
 FROM occurrences JOIN known USING (w) GROUP BY d ORDER BY d
 """
-DIGESTS = f"""
-SELECT d, n, sha256(unhex(ids)) AS ids_sha256, sha256(unhex(bytes)) AS decoded_sha256 FROM ({DOCUMENTS})
+# One sort of all rows in place of one for each document and column. A single thread adds rows in
+# the order it reads them; SQL does not promise that, so ``documents`` compares what is decoded.
+DOCUMENTS_SORTED = """
+SELECT d, CAST(sum(n) AS BIGINT) AS n, string_agg(ids, '') AS ids, string_agg(bytes, '') AS bytes
+FROM (SELECT d, n, ids, bytes FROM occurrences JOIN known USING (w) ORDER BY d, p) GROUP BY d ORDER BY d
+"""
+DIGESTS = """
+SELECT d, n, sha256(unhex(ids)) AS ids_sha256, sha256(unhex(bytes)) AS decoded_sha256 FROM ({})
 """
 
 
@@ -177,8 +184,8 @@ class Bpe:
                 self.db.execute(KEEP.format(sources[name]).replace(") JOIN tokens", ") w_t JOIN tokens"))
                 self.db.unregister(name)
 
-    def documents(self, texts: list[str], query: str = DIGESTS) -> pa.Table:
-        """The query's row for each text that has a word; ``d`` is the text's place."""
+    def documents(self, texts: list[str], digests: bool = True) -> pa.Table:
+        """Digests, or ids and bytes, of each text that has a word; ``d`` is the text's place."""
         if len(self.words) > MEMORY_WORDS:
             self.forget()
         known, new = self.words, []
@@ -195,7 +202,14 @@ class Bpe:
             ["d", "p", "w"],
         )
         self.db.register("occurrences", occurrences)
-        rows = self.db.sql(query).to_arrow_table()
+        form = DIGESTS if digests else "{}"
+        rows = self.db.sql(form.format(DOCUMENTS_SORTED)).to_arrow_table()
+        decoded = rows.column("decoded_sha256" if digests else "bytes").to_pylist()
+        for d, value in zip(rows.column("d").to_pylist(), decoded, strict=True):
+            data = texts[d].encode("utf-8", "surrogatepass")
+            if value != (hashlib.sha256(data).hexdigest() if digests else data.hex()):
+                rows = self.db.sql(form.format(DOCUMENTS)).to_arrow_table()
+                break
         self.db.unregister("occurrences")
         return rows
 
@@ -232,7 +246,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, digests: bool = Fals
         for batch in batches:
             bpe = bpe or Bpe(ranks, merges, pattern)
             for ids, texts in chunks(batch):
-                found = bpe.documents(texts, DIGESTS if digests else DOCUMENTS).to_pydict()
+                found = bpe.documents(texts, digests).to_pydict()
                 at = {d: i for i, d in enumerate(found["d"])}
                 places = [at.get(i) for i in range(len(texts))]
 
