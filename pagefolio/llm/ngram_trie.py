@@ -9,7 +9,8 @@ the model is never gathered in one place:
 * Words are dealt out to shards by hash. Each task sends the tokens of its documents to their shards
   once, in packed arrays: word, context, document.
 * A shard counts its training tokens, builds a trie of its words and their contexts in a memory-mapped
-  file, looks up all its tokens in it, and returns one row of sums per document.
+  file, looks up all its tokens in it, and returns sums per document, packed by groups of documents.
+* The sums of a group of documents meet in one place, where they are added up.
 
 Words that make up more than ``1 / HOT_SHARES`` of all tokens are spread over all shards by their
 context. There are fewer than ``HOT_SHARES`` of them, and their counts are known from a first pass.
@@ -40,9 +41,9 @@ from pagefolio.sources.scratch import written
 
 PRIOR = 100.0
 HOT_SHARES = 2000
-SHARD_TOKENS = 1_500_000
+SHARD_TOKENS = 1_000_000
 # Characters of text whose tokens are packed together, and words counted before they are sent on.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 3_000_000
 COUNTED_WORDS = 400_000
 END = ""
 _WORD_MASK = np.uint64((1 << 56) - 1)
@@ -119,7 +120,15 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 SENT_DDL = "shard int, blob binary, key long, doc_id long, learned boolean, n_tokens long"
-SUMS_DDL = "key long, doc_id long, learned boolean, n_tokens long, n_known long, base double, model double"
+# Either the sums of some documents of a group, or what else is known of one document.
+SUMS_DDL = "group long, sums binary, key long, doc_id long, learned boolean, n_tokens long"
+TOTALS_DDL = "doc_id long, learned boolean, n_tokens long, n_known long, base double, model double"
+GROUP_DOCS = 1024
+# Sums of a document: its place in the group, known tokens, base and model. The model's probabilities are
+# rounded to a byte anyway, so four bytes do for their sums.
+SUMS = {"at": "<i2", "n_known": "<i4", "base": "<f8", "model": "<f4"}
+# Documents with sums that a task holds before it sends them on.
+HELD_DOCS = 2_000_000
 
 
 def sent_tokens(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
@@ -180,8 +189,8 @@ def sent_tokens(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
     return docs.select("key", "doc_id", "learned", "text").mapInArrow(run, SENT_DDL)
 
 
-def shard_sums(blobs: list[bytes], total: int, distinct: int, hot: dict[int, int]) -> pa.RecordBatch:
-    """Sums per document over the tokens of one shard."""
+def shard_sums(blobs: list[bytes], total: int, distinct: int, hot: dict[int, int]) -> tuple:
+    """Document keys, known tokens, base and model sums over the tokens of one shard."""
     word, context, key, learned = (np.concatenate(c) for c in zip(*map(_unpacked, blobs), strict=True))
     order = np.lexsort((context, word))
     word, context, key, learned = word[order], context[order], key[order], learned[order]
@@ -208,16 +217,73 @@ def shard_sums(blobs: list[bytes], total: int, distinct: int, hot: dict[int, int
     docs, of = np.unique(key, return_inverse=True)
     known, base, model = known[pair], np.log10(known + 1.0)[pair], (stored - after)[pair]
     n = len(docs)
+    return docs, np.bincount(of, known > 0, n), np.bincount(of, base, n), np.bincount(of, model, n)
+
+
+def packed_sums(parts: list[tuple]) -> pa.RecordBatch:
+    """The sums of several shards, added up per document and packed by groups of documents."""
+    docs, of = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    n_known, base, model = (np.bincount(of, np.concatenate([p[k] for p in parts]), len(docs)) for k in (1, 2, 3))
+    columns = {"at": docs % GROUP_DOCS, "n_known": n_known, "base": base, "model": model}
+    group = docs // GROUP_DOCS
+    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    compress = zstandard.ZstdCompressor(level=1).compress
+    packed = [
+        compress(b"".join(columns[name][a:b].astype(kind).tobytes() for name, kind in SUMS.items()))
+        for a, b in zip(cut, np.append(cut[1:], len(docs)), strict=True)
+    ]
+    m = len(cut)
     return pa.record_batch(
         [
-            pa.array(docs), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()),
-            pa.array(np.bincount(of, known > 0, n).astype(np.int64)), pa.array(np.bincount(of, base, n)),
-            pa.array(np.bincount(of, model, n)),
+            pa.array(group[cut]), pa.array(packed, pa.binary()), pa.nulls(m, pa.int64()),
+            pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()),
         ],
-        ["key", "doc_id", "learned", "n_tokens", "n_known", "base", "model"],
+        ["group", "sums", "key", "doc_id", "learned", "n_tokens"],
     )
 
 
+def unpacked_sums(blob: bytes) -> dict[str, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, at, out = len(raw) // sum(np.dtype(kind).itemsize for kind in SUMS.values()), 0, {}
+    for name, kind in SUMS.items():
+        out[name] = np.frombuffer(raw, kind, n, at)
+        at += out[name].nbytes
+    return out
+
+
+def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document from the rows of its group, which come one group after another."""
+    names = ("n_known", "base", "model")
+    group, docs, total = None, [], {name: np.zeros(GROUP_DOCS) for name in names}
+
+    def closed() -> pa.RecordBatch:
+        at = np.array([key % GROUP_DOCS for key, *_ in docs], int)
+        columns = list(zip(*docs, strict=True))[1:]
+        types = [pa.int64(), pa.bool_(), pa.int64()]
+        return pa.record_batch(
+            [
+                *(pa.array(c, t) for c, t in zip(columns, types, strict=True)),
+                *(pa.array(total[name][at].astype(t)) for name, t in zip(names, (np.int64, float, float), strict=True)),
+            ],
+            ["doc_id", "learned", "n_tokens", "n_known", "base", "model"],
+        )
+
+    for batch in batches:
+        for new, sums, *doc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if new != group:
+                if docs:
+                    yield closed()
+                group, docs, total = new, [], {name: np.zeros(GROUP_DOCS) for name in names}
+            if sums is None:
+                docs.append(doc)
+            else:
+                part = unpacked_sums(sums)
+                for name in names:
+                    total[name][part["at"]] += part[name]
+    if docs:
+        yield closed()
+
+
 def scored_texts(docs: DataFrame, learned) -> DataFrame:
     """``doc_id, learned, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
@@ -236,33 +302,34 @@ def scored_texts(docs: DataFrame, learned) -> DataFrame:
     shards = max(16, math.ceil(total / SHARD_TOKENS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, blobs = None, []
+        shard, blobs, held = None, [], []
         for batch in batches:
             infos = batch.filter(pa.compute.is_valid(batch.column("key")))
             if infos.num_rows:
-                n = infos.num_rows
-                zero = pa.array(np.zeros(n))
+                group = pa.array(infos.column("key").to_numpy() // GROUP_DOCS)
                 yield pa.record_batch(
-                    [*infos.columns[2:], pa.array(np.zeros(n, np.int64)), zero, zero],
-                    ["key", "doc_id", "learned", "n_tokens", "n_known", "base", "model"],
+                    [group, pa.nulls(infos.num_rows, pa.binary()), *infos.columns[2:]],
+                    ["group", "sums", "key", "doc_id", "learned", "n_tokens"],
                 )
             for number, blob in zip(batch.column("shard").to_pylist(), batch.column("blob").to_pylist(), strict=True):
                 if blob is None:
                     continue
                 if number != shard and blobs:
-                    yield shard_sums(blobs, total, distinct, hot)
+                    held.append(shard_sums(blobs, total, distinct, hot))
                     blobs = []
+                    if sum(len(part[0]) for part in held) > HELD_DOCS:
+                        yield packed_sums(held)
+                        held = []
                 shard = number
                 blobs.append(blob)
         if blobs:
-            yield shard_sums(blobs, total, distinct, hot)
+            held.append(shard_sums(blobs, total, distinct, hot))
+        if held:
+            yield packed_sums(held)
 
     rows = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", F.coalesce(learned, F.lit(False)).alias("learned"), "text")
     sums = sent_tokens(rows, shards, hot_keys).repartition("shard").sortWithinPartitions("shard").mapInArrow(run, SUMS_DDL)
-    by_doc = sums.groupBy("key").agg(
-        F.max("doc_id").alias("doc_id"), F.max("learned").alias("learned"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("model").alias("model"),
-    )
+    by_doc = sums.repartition("group").sortWithinPartitions("group").mapInArrow(totals, TOTALS_DDL)
     return by_doc.select(
         "doc_id",
         "learned",
