@@ -6,7 +6,6 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
 
 # A word is a run of characters other than the six ASCII white space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -30,8 +29,3 @@ def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordB
     """Parts of a batch, so that few of its texts are Python strings at a time."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
-
-
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns. Further columns, whatever their names, take no part in an operator."""
-    return df.select(*columns)

@@ -71,11 +71,7 @@ def bucket(word: str, buckets: int) -> int:
 
 
 def word_counts(urls: DataFrame) -> np.ndarray:
-    """Hashed counts of host labels and path tokens over all rows, by their distinct hosts and paths.
-
-    A host counts once per path token set it appears with only through its own rows, so the
-    count of a word is the number of URLs that hold it.
-    """
+    """Hashed counts of host labels and path tokens: the number of URLs that hold each, over all rows."""
     words = urls.select(F.explode(F.array_distinct(F.concat(tokens_of(F.col("host")), tokens_of(F.col("path"))))).alias("word"))
     counts = words.groupBy((F.crc32("word") % WORD_BUCKETS).alias("bucket")).count()
     out = np.zeros(WORD_BUCKETS)
