@@ -30,7 +30,7 @@ LONG_BYTES = 64
 # Characters of text in a chunk, and words remembered between chunks.
 CHUNK_CHARS = 1_500_000
 LEARN_WORDS = 20_000
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 700_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
