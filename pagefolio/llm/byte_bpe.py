@@ -107,15 +107,20 @@ SELECT w, p, t FROM bpe WHERE t >= 0
 """
 KEEP = """
 INSERT INTO known
-SELECT w, count(*), string_agg(k.id_hex, '' ORDER BY p), string_agg(k.hex, '' ORDER BY p)
-FROM ({}) JOIN tokens k ON k.t = w_t.t GROUP BY w
+SELECT w, count(*), string_agg(id_hex, '' ORDER BY p), string_agg(hex, '' ORDER BY p)
+FROM ({}) JOIN tokens USING (t) GROUP BY w
 """
 DOCUMENTS = """
 SELECT d, CAST(sum(n) AS BIGINT) AS n, string_agg(ids, '' ORDER BY p) AS ids, string_agg(bytes, '' ORDER BY p) AS bytes
 FROM occurrences JOIN known USING (w) GROUP BY d ORDER BY d
 """
-# One sort of all rows in place of one for each document and column. A single thread adds rows in
-# the order it reads them; SQL does not promise that, so ``documents`` compares what is decoded.
+# One sort of all rows in place of one for each group and column. A single thread adds rows in the
+# order it reads them; SQL does not promise that, so ``documents`` compares what is decoded.
+KEEP_SORTED = """
+INSERT INTO known
+SELECT w, count(*), string_agg(id_hex, ''), string_agg(hex, '')
+FROM (SELECT w, id_hex, hex FROM ({}) JOIN tokens USING (t) ORDER BY w, p) GROUP BY w
+"""
 DOCUMENTS_SORTED = """
 SELECT d, CAST(sum(n) AS BIGINT) AS n, string_agg(ids, '') AS ids, string_agg(bytes, '') AS bytes
 FROM (SELECT d, n, ids, bytes FROM occurrences JOIN known USING (w) ORDER BY d, p) GROUP BY d ORDER BY d
@@ -133,6 +138,7 @@ class Bpe:
         self.ranks = ranks
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.words: dict[str, int] = {}
+        self.strict = False
         self.db = db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         db.execute("SET enable_progress_bar = false")
         db.register("m", pa.table([pa.array(c) for c in merges.T], ["l", "r", "merged", "alone"]))
@@ -181,7 +187,7 @@ class Bpe:
         for name, rows in parts.items():
             if rows.num_rows:
                 self.db.register(name, rows)
-                self.db.execute(KEEP.format(sources[name]).replace(") JOIN tokens", ") w_t JOIN tokens"))
+                self.db.execute((KEEP if self.strict else KEEP_SORTED).format(sources[name]))
                 self.db.unregister(name)
 
     def documents(self, texts: list[str], digests: bool = True) -> pa.Table:
@@ -203,14 +209,17 @@ class Bpe:
         )
         self.db.register("occurrences", occurrences)
         form = DIGESTS if digests else "{}"
-        rows = self.db.sql(form.format(DOCUMENTS_SORTED)).to_arrow_table()
+        rows = self.db.sql(form.format(DOCUMENTS if self.strict else DOCUMENTS_SORTED)).to_arrow_table()
+        self.db.unregister("occurrences")
         decoded = rows.column("decoded_sha256" if digests else "bytes").to_pylist()
         for d, value in zip(rows.column("d").to_pylist(), decoded, strict=True):
             data = texts[d].encode("utf-8", "surrogatepass")
             if value != (hashlib.sha256(data).hexdigest() if digests else data.hex()):
-                rows = self.db.sql(form.format(DOCUMENTS)).to_arrow_table()
-                break
-        self.db.unregister("occurrences")
+                if self.strict:
+                    raise ValueError("a text was not decoded as it was")
+                self.strict = True
+                self.forget()
+                return self.documents(texts, digests)
         return rows
 
 
