@@ -30,7 +30,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagefolio.llm.components import components
@@ -41,7 +41,7 @@ from pagefolio.sources.scratch import written
 HASHES, BAND_ROWS, BATCH = 240, 6, 24
 THRESHOLD = 80  # percent
 MISS = 1e-7
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS, PIVOTS = 2, 2
 # Members up to which a band lists its pairs, and members of a block beyond that.
 SMALL_BAND, BLOCK = 24, 400
 
@@ -211,6 +211,10 @@ def mixed_bands(active: DataFrame, round_: int) -> DataFrame:
     ``p`` is the member with the smallest hash of the round, the pivot. Counts and minima are
     aggregated before they are shuffled.
     """
+    if not round_:
+        # All members are still their own components, and their ids are hashes.
+        first = active.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("p"))
+        return first.filter("n > 1").withColumn("p_label", F.col("p"))
     pivot = F.min(F.struct(F.xxhash64("node", F.lit(round_)), "node", "label"))
     bands = active.groupBy("band", "key").agg(
         F.count("*").alias("n"), pivot.alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high")
@@ -220,6 +224,17 @@ def mixed_bands(active: DataFrame, round_: int) -> DataFrame:
     )
 
 
+def best_pivots(members: DataFrame) -> DataFrame:
+    """``a, b``: every member with the ``PIVOTS`` pivots that it shares most bands with.
+
+    Rounds only save work, so other pivots can wait; a member has one in each of its bands at most.
+    """
+    shared = members.groupBy("node", "p").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("node").orderBy(F.desc("n"), "p")
+    best = shared.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PIVOTS)
+    return best.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
+
+
 def members_of(active: DataFrame, bands: DataFrame) -> DataFrame:
     """The members of the given bands; those of other bands are left out before the shuffle."""
     return only_needed(active, F.col("key"), bands, F.col("key")).join(bands, ["band", "key"])
@@ -249,7 +264,7 @@ def linked_components(rows: DataFrame, classes: DataFrame, threshold: int = THRE
     for round_ in range(PIVOT_ROUNDS):
         mixed = written(mixed_bands(active, round_), "mixed")
         members = written(members_of(active, mixed), "members")
-        pairs = members.filter("label <> p_label").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
+        pairs = best_pivots(members.filter("label <> p_label"))
         found = written(verified(written(pairs.distinct(), "pairs"), rows, threshold), "found")
         links = found if links is None else links.unionByName(found)
         active = written(relabelled(members, links), "bands")
