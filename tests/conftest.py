@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from pagefolio.sources.scratch import remove_written
+
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("pagefolio-tests")
@@ -11,7 +13,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     yield session
+    remove_written(session)
     session.stop()
