@@ -175,7 +175,8 @@ def _values_of(rows: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
     """The columns of the wanted nodes, one row each."""
     found = only_needed(rows.select("node", *columns), F.col("node"), nodes, F.col("node"))
     # The filter lets a few others pass; repeated rows of one document and set are one node.
-    found = found.join(nodes.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    # An inner join: a semi join would be moved below the filter, to all rows.
+    found = found.join(nodes.select("node").distinct(), "node").dropDuplicates(["node"])
     return written(found, "values")
 
 
