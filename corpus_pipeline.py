@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in none of the languages learned from what the first stage kept."""
+    """Drops documents in none of the languages learned from what the first stage kept, if any were."""
     return language_id.documents_in(docs, language_id.train(docs))
 
 

@@ -7,6 +7,11 @@ bounded by ``PER_LANGUAGE`` rows for each language, whatever the size of the tab
 
 A text that is null, empty or without a letter is ``und`` with score 0. A language that no family
 names belongs to the family ``other``. Without labelled rows every text is ``und``.
+
+A model also knows how narrow the margins of its languages get: machines trained on one half of the
+sample are tried on the other half. A text far below that is in no learned language, although
+``predict`` names the nearest one; ``documents_in`` drops it. A single language has no margins, so
+nothing is dropped there but ``und``.
 """
 
 from __future__ import annotations
@@ -29,6 +34,9 @@ FAMILIES = {
 }
 BUCKETS = 4096
 PER_LANGUAGE = 1000
+# A text is in a language if its margins reach this share of those that all but one in a hundred
+# texts of the language reach. Languages of fewer rows than ``LEAST_ROWS`` reject nothing.
+FLOOR_SHARE, FLOOR_QUANTILE, LEAST_ROWS = 0.2, 0.01, 20
 LETTER = re.compile(r"[^\W\d_]")
 # Characters that are turned into bytes and counted at a time.
 CHUNK_CHARS = 1 << 20
@@ -121,7 +129,7 @@ def sample_features(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> di
 class LanguageModel:
     """Family machines and, per family, one machine for each pair of its languages."""
 
-    def __init__(self, samples: dict[str, np.ndarray], families: dict[str, list[str]] = FAMILIES):
+    def __init__(self, samples: dict[str, np.ndarray], families: dict[str, list[str]] = FAMILIES, floors: bool = True):
         home = {lang: family for family, langs in families.items() for lang in langs}
         self.members: dict[str, list[str]] = {}
         for lang in sorted(samples):
@@ -136,6 +144,24 @@ class LanguageModel:
             for langs in self.members.values()
             for a, b in combinations(langs, 2)
         }
+        self.floors = self._floors(samples, families) if floors else {}
+
+    @staticmethod
+    def _floors(samples: dict[str, np.ndarray], families: dict[str, list[str]]) -> dict[str, tuple[float, float]]:
+        """Least family and pair margin of a text of each language, from rows that the machines did not see."""
+        found: dict[str, list] = {}
+        for fold in (0, 1):
+            seen = {lang: x[fold::2] if len(x) > 1 else x for lang, x in samples.items()}
+            half = LanguageModel(seen, families, floors=False)
+            for lang, x in samples.items():
+                if len(x) >= LEAST_ROWS:
+                    tried = [half.decide(np.append(row, 1.0)) for row in x[1 - fold :: 2]]
+                    found.setdefault(lang, []).extend(margins for name, *margins in tried if name == lang)
+        return {
+            lang: tuple(FLOOR_SHARE * np.quantile(rows, FLOOR_QUANTILE, axis=0, method="lower"))
+            for lang, rows in found.items()
+            if rows
+        }
 
     def _one_versus_rest(self, samples: dict[str, np.ndarray]) -> np.ndarray:
         if len(self.families) < 2:
@@ -144,25 +170,42 @@ class LanguageModel:
         of = np.concatenate([[i] * len(samples[lang]) for i, f in enumerate(self.families) for lang in self.members[f]])
         return np.array([fit_svm(x, np.where(of == i, 1.0, -1.0)) for i in range(len(self.families))])
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and score; the score falls with the narrowest margin of the decision."""
-        if not text or not self.families or not LETTER.search(text):
-            return "und", 0.0
-        x = np.append(features(text), 1.0)
+    def decide(self, x: np.ndarray) -> tuple[str, float, float]:
+        """Language of a feature row with its bias, and the narrowest family and pair margins; infinite if there are none."""
         margins = self.family_weights @ x
         best = int(np.argmax(margins))
         rest = np.delete(margins, best)
-        certainty = [margins[best] - rest.max()] if len(rest) else []
         langs = self.members[self.families[best]]
         votes, support = dict.fromkeys(langs, 0), dict.fromkeys(langs, 0.0)
-        for a, b in combinations(langs, 2):
-            margin = float(self.pair_weights[a, b] @ x)
+        pairs = {pair: float(self.pair_weights[pair] @ x) for pair in combinations(langs, 2)}
+        for (a, b), margin in pairs.items():
             votes[a if margin >= 0 else b] += 1
             support[a] += margin
             support[b] -= margin
         lang = max(langs, key=lambda name: (votes[name], support[name]))
-        certainty += [abs(float(w @ x)) for pair, w in self.pair_weights.items() if lang in pair]
-        return lang, float(1 / (1 + np.exp(-2 * min(certainty)))) if certainty else 1.0
+        family = float(margins[best] - rest.max()) if len(rest) else np.inf
+        return lang, family, min((abs(m) for pair, m in pairs.items() if lang in pair), default=np.inf)
+
+    def _known(self, text: str | None) -> tuple[str, float, float] | None:
+        if not text or not self.families or not LETTER.search(text):
+            return None
+        return self.decide(np.append(features(text), 1.0))
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        """Language and score; the score falls with the narrowest margin of the decision."""
+        found = self._known(text)
+        if found is None:
+            return "und", 0.0
+        certainty = min(found[1:])
+        return found[0], float(1 / (1 + np.exp(-2 * certainty))) if certainty < np.inf else 1.0
+
+    def language_of(self, text: str | None) -> str | None:
+        """The language of a text whose margins are as wide as its language's texts have them, or None."""
+        found = self._known(text)
+        if found is None:
+            return None
+        lang, *margins = found
+        return lang if all(m >= floor for m, floor in zip(margins, self.floors.get(lang, (0.0, 0.0)), strict=True)) else None
 
 
 def remainder(doc_id: Column, mod: int) -> Column:
@@ -196,13 +239,18 @@ def predictions(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def documents_in(docs: DataFrame, model: LanguageModel, languages: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is in a known (or one of the given) language."""
+    """The rows of ``docs``, all columns, whose text is in a learned (or one of the given) language.
+
+    If no language could be learned, nothing speaks against a document, and all stay unless languages are given.
+    """
+    if not model.families and languages is None:
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = [model.predict(t)[0] for t in part.column(part.schema.get_field_index("text")).to_pylist()]
-                keep = [f != "und" and (languages is None or f in languages) for f in found]
+                found = [model.language_of(t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+                keep = [f is not None and (languages is None or f in languages) for f in found]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -134,6 +134,31 @@ def test_language(spark, docs):
     assert {r.lang_pred for r in language_id.predictions(table, none).collect()} == {"und"}
 
 
+def test_documents_in_learned_languages(spark):
+    """Unlearned languages and gibberish go, clean documents stay, and all stay where no row is labelled."""
+    rng = random.Random(6)
+    words = {
+        "en": "the and of to in is that for it with as was on are this which have from they water house people under".split(),
+        "de": "der und die das ist nicht ein mit auf für sich den von werden haben wasser haus leute unter schule durch".split(),
+        "fr": "le et la les des est une dans pour que qui sur avec pas plus sont eau maison gens sous école par nous".split(),
+        "es": "el y la los que es una en para por con no más son agua casa gente bajo escuela como pero está muy".split(),
+    }
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(25, 80))), lang) for i, lang in enumerate(rng.choices(list(words), k=800))]
+    odd = [
+        "tämä on pitkä suomenkielinen teksti jossa puhutaan maasta kansasta ja kielestä kun ihmiset tulevat kaupunkiin he ostavat leipää maitoa ja kalaa",
+        "to jest długi tekst w języku polskim który opowiada o kraju i ludziach kiedy przyjechali do miasta kupili chleb mleko i ryby potem poszli do domu",
+        "это длинный текст на русском языке который рассказывает о стране и людях когда они приехали в город они купили хлеб молоко и рыбу",
+        " ".join("".join(rng.choices("qxzjkwv", k=rng.randint(3, 9))) for _ in range(40)),
+    ]
+    rows += [(1000 + i, text, None) for i, text in enumerate(odd)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(table)
+    assert [r.doc_id for r in language_id.documents_in(table, model).collect()] == [i for i, *_ in rows[:800]]
+    assert all(model.predict(text)[0] in words for text in odd)
+    blank = table.withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.documents_in(blank, language_id.train(blank)).count() == len(rows)
+
+
 # -- near duplicates -----------------------------------------------------------------------------
 def shingles(text, size):
     w = WORD.findall(lower(text or ""))
