@@ -64,6 +64,36 @@ def test_learned_verdicts(spark):
     assert (got[80], got[81]) == ("block", "allow")
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_words_of_many_urls(spark, monkeypatch, broadcast):
+    """A piece is a word only if it was counted itself, however many other tokens there are."""
+    if not broadcast:
+        monkeypatch.setattr(url_filter, "fits_broadcast", lambda df: False)
+    n = (1 << 18) + 40_000
+    urls = spark.range(n).selectExpr("id AS row", "'a.org' AS host", "concat('/en/', id, '/', translate(hex(id * 7919), '0123456789', 'qwrtzpsdfg')) AS path")
+    hosts = ["cheap-pills.net", "cheappills.com", "vubosyhk.net", "example.org", "12345678901.net", "x" * 30 + ".net"]
+    rows = [(n + i, host, "/vubosyhk/2024" if i == 2 else "") for i, host in enumerate(hosts)]
+    table = urls.unionByName(spark.createDataFrame(rows, "row long, host string, path string"))
+    found = url_filter.url_words(table).filter(f"row >= {n}").collect()
+    assert {r.row - n: r.words for r in found} == {
+        0: ["h:cheap", "h:pills", "h:net"], 1: ["h:cheap", "h:pills", "h:com"],
+        2: ["h:vubosyhk", "h:net", "p:vubosyhk"], 3: ["h:example", "h:org"],
+        4: ["h:12345678901", "h:net"], 5: ["h:" + "x" * 6, "h:" + "x" * 24, "h:net"],
+    }
+    tokens = url_filter.url_tokens(table)
+    assert tokens.filter("counted").select("name").distinct().count() > 1 << 18
+    assert tokens.filter("counted and name rlike '^[0-9]+$'").count() == 0
+
+
+def test_hashed_counts_know_too_much():
+    """Why words are counted exactly: with as many tokens as buckets, names of no known word fall apart."""
+    counts = np.zeros(url_filter.WORD_BUCKETS)
+    for i in range(4 * len(counts)):
+        counts[url_filter.bucket(str(i), len(counts))] += 1
+    assert url_filter.Segmenter(counts).split("vubosyhk") != ["vubosyhk"]
+    assert url_filter.Segmenter({str(i): 1 for i in range(1000)}).split("vubosyhk") == ["vubosyhk"]
+
+
 # -- pages ---------------------------------------------------------------------------------------------
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><p>Site name</p></header><nav><ul><li><a href="/a">A</a></li></ul></nav><div class="ad banner">Buy &amp; save.</div>
