@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -160,6 +161,28 @@ def test_embeddings(spark):
     assert neighbour_graph.embedding_groups(table.filter("false")).count() == 0
 
 
+def test_bridge_between_dense_groups(spark):
+    """Two groups larger than any list, joined by a single link that is the weakest of both its ends."""
+    rng = np.random.default_rng(2)
+    angles = np.radians([0, *-rng.uniform(1, 4, 400), 17.5, *17.5 + rng.uniform(1, 4, 400)])
+    x = np.column_stack([np.cos(angles), np.sin(angles), rng.normal(size=(len(angles), 14)) * 0.001])
+    x[[0, 401], 2:] = 0
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.95
+    assert linked[:401, 401:].sum() == 1 and linked[0, 401]
+    table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in neighbour_graph.embedding_groups(table).collect())
+    assert got == [(i, int(linked[i].sum()) - 1, 0) for i in range(len(x))]
+
+
+def test_lists_are_cut_at_their_own_length():
+    ids = np.arange(100)
+    codes = [neighbour_graph.rounded(np.array([1.0, 0.001 * i])).tobytes() for i in ids]
+    columns = [np.zeros(100, np.int64), ids, codes, np.full(100, -2.0, np.float32), np.where(ids == 7, 80, 10)]
+    found = list(neighbour_graph._compared(pa.table([pa.array(c) for c in columns], ["c", "u", "code", "worst", "k"])))
+    assert collections.Counter(found[0].column("u").to_pylist()) == {i: 80 if i == 7 else 10 for i in range(100)}
+
+
 # -- queries -------------------------------------------------------------------------------------------
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", list(queries.ORACLES))
