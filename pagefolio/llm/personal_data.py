@@ -1,16 +1,17 @@
 """Personal data by fixed patterns and a semi-Markov conditional random field.
 
 The patterns give the base spans: e-mail and IP addresses, card and phone numbers. The field adds
-spans that the patterns do not cover. It segments the words around every digit and ``@`` into
-entities of at most ``MAX_WORDS`` words and single other words; features look at a whole segment
+spans that the patterns do not cover. It segments the words around every digit, ``@`` and
+spelled-out "at" or "dot" into entities of at most ``MAX_WORDS`` words and single other words; features look at a whole segment
 at once (its shape, its digits and their check sum, its separators, the words at both sides), and a
 dynamic program over segment ends chooses boundaries and types together. Spans that overlap a base
 span are not added.
 
 The field learns from the text around base spans of at most ``TRAIN_ZONES`` zones of the corpus, chosen
 by hash, and from the few made-up lines of ``SEEDS``, which show forms that no pattern covers. A
-segment without a digit and without ``@`` cannot be an entity, so text far from both needs no
-scoring, and every text is covered whole.
+segment without any of these signs cannot be an entity, so text far from them needs no scoring, and
+every text is covered whole. Stretches with spelled-out signs only are not learned from, as no pattern
+tells what they are and learning them as plain text would unlearn the seeds.
 
 Null and empty texts have no spans. Positions are code points, ends exclusive.
 """
@@ -37,6 +38,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+# What opens a zone: a trigger, or an address spelled out.
+SIGN = re.compile(r"(?i)[0-9@]|\(at\)|\[at\]|(?<= )at(?= )|\(dot\)|\[dot\]|(?<= )dot(?= )")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -175,15 +178,17 @@ Zone = tuple[list[tuple[int, int]], list[tuple[int, int, int, list[str]]]]
 
 
 def zones(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Word bounds of the stretches around triggers; touching stretches are one."""
-    if not TRIGGER.search(text):
+    """Word bounds of the stretches around signs; touching stretches are one."""
+    if not SIGN.search(text):
         return
     group: list[tuple[int, int]] = []
     recent: list[tuple[int, int]] = []
     left = 0
     for m in WORD.finditer(text):
         one = (m.start(), m.end())
-        if TRIGGER.search(m[0]):
+        # One character more than the word, for the space behind it.
+        sign = SIGN.search(text, m.start(), m.end() + 1)
+        if sign and sign.start() < m.end():
             group += [*recent, one]
             recent, left = [], MARGIN
         elif left:
@@ -315,7 +320,8 @@ def train(docs: DataFrame, limit: int = TRAIN_ZONES, rounds: int = 12) -> SpanFi
                 for text in part.column(0).to_pylist():
                     for bounds in zones(text):
                         cut = text[bounds[0][0] : bounds[-1][1]]
-                        if len(cut) <= 1000:
+                        # Without a trigger no pattern tells whether a stretch holds an address.
+                        if len(cut) <= 1000 and TRIGGER.search(cut):
                             rows.append((cut, int.from_bytes(hashlib.md5(cut.encode("utf-8", "replace")).digest()[:7], "little")))
                 columns = list(zip(*rows, strict=True)) or [(), ()]
                 yield pa.record_batch([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64())], ["zone", "place"])
@@ -346,7 +352,7 @@ def train(docs: DataFrame, limit: int = TRAIN_ZONES, rounds: int = 12) -> SpanFi
 def all_spans(text: str | None, field: SpanField) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans by kind and start."""
     base = base_spans(text)
-    if not text or not TRIGGER.search(text):
+    if not text or not SIGN.search(text):
         return base, base
     added = []
     for bounds in zones(text):

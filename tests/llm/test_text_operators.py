@@ -319,6 +319,18 @@ def test_personal_data(spark, docs):
     assert personal_data.personal_spans(empty(docs), personal_data.train(empty(docs))).count() == 0
 
 
+def test_spelled_out_addresses(spark):
+    """An address without a digit or ``@`` is found where it stands alone, and plain words are not."""
+    texts = ["jane.doe at example dot com", "please write to max (at) example.org before the week ends", "info [at] example [dot] net",
+             "they met at the gate and looked at the garden", "a dot on the map"]
+    more = [f"we sat at the {w} and looked at every {w} there" for w in ("table", "window", "river", "station")]
+    table = spark.createDataFrame(list(enumerate(texts + more)), "doc_id long, text string")
+    field = personal_data.train(table)
+    got = {r.doc_id: r.text for r in personal_data.without_personal_data(table, field).collect()}
+    assert got[0] == got[2] == "<email>" and got[1] == "please write to <email> before the week ends"
+    assert all(got[i] == text for i, text in enumerate(texts + more) if i > 2)
+
+
 # -- packing -----------------------------------------------------------------------------------------
 def test_fullest():
     rng = random.Random(5)
