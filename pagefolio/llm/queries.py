@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagefolio.llm import (
     byte_bpe,
     language_id,
+    lexical_search,
     near_duplicates,
     neighbour_graph,
     ngram_trie,
@@ -16,6 +17,7 @@ from pagefolio.llm import (
     page_text,
     personal_data,
     quality_rules,
+    token_counts,
     url_filter,
 )
 
@@ -76,6 +78,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical_search.ranked(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_ngram_trie": op1_ngram_trie,
     "op2_near_duplicates": op2_near_duplicates,
@@ -87,6 +99,8 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_page_text": op9_page_text,
     "op10_packing": op10_packing,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_token_counts": op12_token_counts,
 }
 
 # The words of a text in DuckDB. Its regular expressions know the six ASCII white space characters.
@@ -103,7 +117,8 @@ ORACLES = {
     "op2_near_duplicates": rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
   FROM documents
 ),
 s AS (
@@ -171,5 +186,34 @@ SELECT doc_id, n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, n
   AND 10 * len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) >= 6 * n_words
   AND 2 * len(list_filter(w, lambda x: length(x) > 1 AND x = upper(x) AND x <> lower(x))) <= n_words AS kept
 FROM n
+""",
+    # Terms, weights and scores as the contract states them; integer division of non-negative
+    # numbers is the // of DuckDB.
+    "op11_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+),
+p AS (SELECT rid, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d WHERE len(t) > 0),
+tot AS (SELECT count(*) AS big_n, sum(len(t)) AS big_l FROM d WHERE len(t) > 0),
+tf AS (SELECT rid, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM p GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+s AS (
+  SELECT q.item_id, tf.rid, tf.doc_id, sum(
+    CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df.df + 1))) AS BIGINT)
+    * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * tf.n * big_n) // big_l)))) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term), tot
+  GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST, rid) AS rank
+  FROM s WHERE score > 0)
+WHERE rank <= 10
 """,
 }
