@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagefolio.llm import (
     byte_bpe,
+    conversation_repair,
     language_id,
     lexical_search,
     near_duplicates,
@@ -88,6 +89,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversation_repair.repaired_conversations(conversations)
+
+
 QUERIES = {
     "op1_ngram_trie": op1_ngram_trie,
     "op2_near_duplicates": op2_near_duplicates,
@@ -101,6 +107,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_lexical_search": op11_lexical_search,
     "op12_token_counts": op12_token_counts,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 # The words of a text in DuckDB. Its regular expressions know the six ASCII white space characters.
