@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from pagefolio.functions.news import NEWS_FIELDS_DDL
 from pagefolio.sources.scratch import written
@@ -27,60 +29,194 @@ CSV_OPTIONS = {
 }
 
 
+class ConcurrentRunError(RuntimeError):
+    """Another run committed a version of the table after this run read it."""
+
+
+MANIFESTS = "_manifests"
+DATA = "data"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target, jvm
+
+
+def latest_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The manifest of the newest version at ``path``; None for a table without versions."""
+    fs, root, jvm = _hadoop(spark, f"{path}/{MANIFESTS}")
+    if not fs.exists(root):
+        return None
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    versions = sorted(n for n in names if n.startswith("v-") and n.endswith(".json"))
+    if not versions:
+        return None
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFESTS}/{versions[-1]}"))
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def _commit(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Create the manifest file of a new version; fails if that version exists already."""
+    name = f"{path}/{MANIFESTS}/v-{manifest['version']:010d}.json"
+    fs, target, _ = _hadoop(spark, name)
+    try:
+        stream = fs.create(target, False)
+    except Exception as error:
+        if "exists" in str(error).lower():
+            raise ConcurrentRunError(f"version {manifest['version']} of {path} was written by another run") from error
+        raise
+    try:
+        stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    finally:
+        stream.close()
+
+
+def _leaf_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Folders under ``folder`` that hold data files, relative to it."""
+    fs, root, _ = _hadoop(spark, folder)
+    if not fs.exists(root):
+        return []
+    prefix = fs.makeQualified(root).toString().rstrip("/") + "/"
+    found, files = set(), fs.listFiles(root, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        full = status.getPath().getParent().toString()
+        found.add(full[len(prefix):] if full.startswith(prefix) else "")
+    return sorted(found)
+
+
 def write_profiles(
     profiles: DataFrame, path: str, fmt: str = "parquet", buckets: int | None = None, **options
-) -> None:
-    """Write profiles; rows of other dates, sources and companies at ``path`` stay.
-
-    By default every date, source and company id is a partition, so a run for one company never
-    touches another. That is one folder per company; a run for very many gives ``buckets``, the
-    number of folders per date (the same on every run): companies are dealt out to them by a hash
-    of their id, and the rows that stay in the touched folders are written again with the new ones.
+) -> int:
+    """Write profiles as a new version of the table at ``path``; returns the version.
+
+    The table is a set of partition folders named by a manifest per version
+    (``_manifests/v-NNNNNNNNNN.json``: format, bucket count, partition columns, live folders). A
+    run writes its rows into a folder of its own, then commits the next manifest; readers follow
+    the newest manifest only, so a run that fails or is stopped leaves the last version whole, and
+    two runs that commit the same version cannot both succeed (the second raises
+    ``ConcurrentRunError`` and may run again).
+
+    By default every date, source and company id is a partition, so a run for one company
+    supersedes only that company's folder. A run for very many gives ``buckets``, the number of
+    folders per date: companies are dealt out by a hash of their id, and the rows that stay in the
+    touched folders are written again with the new ones. A run with another layout than the
+    table's (default against buckets, or another bucket count) moves every live row to the new
+    layout in the same version, so one row per key remains whatever the runs' layouts were. A
+    table has one format; another one raises ``ValueError``.
     """
+    spark = profiles.sparkSession
+    current = latest_manifest(spark, path)
+    if current and current["format"] != fmt:
+        raise ValueError(f"{path} holds {current['format']}, not {fmt}")
     if fmt in FLAT_FORMATS:
         profiles = profiles.select("description", "clients", "news", *KEY)
     if fmt == "csv":
         options = {**CSV_OPTIONS, **options}
-    partitions = KEY
+    partitions = ["updt_date", "bucket"] if buckets else list(KEY)
+    new = written(bucketed(profiles, buckets) if buckets else profiles, "profiles")
+    version = (current["version"] if current else 0) + 1
+    run = f"{DATA}/v-{version:010d}-{uuid.uuid4().hex}"
+
+    live = []
+    rows = new
+    if current:
+        old = _read_version(spark, path, current, new.schema.fieldNames(), options, new.schema)
+        same_key = [old[c].eqNullSafe(new[c]) for c in KEY]
+        if current["buckets"] == (buckets or 0):
+            # Same layout: the rows of touched folders without a new key are written again.
+            touched = new.select(*partitions).distinct()
+            if buckets:
+                stay = old.join(touched, partitions, "left_semi")
+                stay = stay.join(new, same_key, "left_anti")
+                rows = new.unionByName(written(stay.select(new.columns), "survivors"))
+            live = current["folders"]
+        else:
+            # Another layout: every live row moves; a new key replaces the old row.
+            stay = old.drop("bucket").join(new, same_key, "left_anti")
+            stay = bucketed(stay, buckets) if buckets else stay
+            rows = new.unionByName(written(stay.select(new.columns), "survivors"))
     if buckets:
-        partitions = ["updt_date", "bucket"]
-        profiles = _with_survivors(written(bucketed(profiles, buckets), "profiles"), path, fmt, options)
         # One task per folder, so that a folder is one file.
-        profiles = profiles.repartition(*partitions)
-    (
-        profiles.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
-        .partitionBy(*partitions)
-        .save(path)
-    )
+        rows = rows.repartition(*partitions)
+    rows.write.format(fmt).options(**options).partitionBy(*partitions).save(f"{path}/{run}")
+    written_folders = _leaf_folders(spark, f"{path}/{run}")
+    touched_names = set(written_folders)
+    kept = [f for f in live if f.split("/", 2)[2] not in touched_names]
+    manifest = {
+        "version": version, "format": fmt, "buckets": buckets or 0, "partition_columns": partitions,
+        "folders": kept + [f"{run}/{f}" for f in written_folders],
+    }
+    _commit(spark, path, manifest)
+    return version
 
 
 def bucketed(profiles: DataFrame, buckets: int) -> DataFrame:
     return profiles.withColumn("bucket", F.pmod(F.xxhash64("company_id"), F.lit(buckets)).cast("int"))
 
 
-def _with_survivors(new: DataFrame, path: str, fmt: str, options: dict) -> DataFrame:
-    """``new`` and the rows at ``path`` that share a folder with it but no key."""
-    try:
-        old = new.sparkSession.read.options(**options).format(fmt).schema(new.schema).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return new
-    touched = new.select("updt_date", "bucket").distinct()
-    same_key = [old[c].eqNullSafe(new[c]) for c in KEY]
-    stay = old.join(touched, ["updt_date", "bucket"], "left_semi").join(new, same_key, "left_anti")
-    # Written first: the folders it is read from are about to be replaced.
-    return new.unionByName(written(stay.select(new.columns), "survivors"))
+def _versioned(spark: SparkSession, path: str, manifest: dict, schema: StructType, options: dict) -> DataFrame:
+    """The live rows of one version in ``schema``: its folders, read per run folder."""
+    by_run: dict[str, list[str]] = {}
+    for folder in manifest["folders"]:
+        parts = folder.split("/", 2)
+        by_run.setdefault(f"{parts[0]}/{parts[1]}", []).append(folder)
+    frames = []
+    for run, folders in sorted(by_run.items()):
+        read = spark.read.format(manifest["format"]).options(**options).option("basePath", f"{path}/{run}")
+        frames.append(read.schema(schema).load([f"{path}/{f}" for f in folders]).select(*schema.fieldNames()))
+    rows = spark.createDataFrame([], schema)
+    for frame in frames:
+        rows = rows.unionByName(frame)
+    return rows
+
+
+def _read_version(spark: SparkSession, path: str, manifest: dict, columns: list[str], options: dict, schema: StructType) -> DataFrame:
+    if "bucket" not in schema.fieldNames():
+        schema = StructType(list(schema.fields)).add("bucket", IntegerType())
+    return _versioned(spark, path, manifest, schema, options)
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Written profiles, with the partition columns in their own types."""
+    """The newest version of written profiles, with the partition columns in their own types.
+
+    A folder without manifests is read as plain partitioned files.
+    """
     ddl, options = (FLAT_DDL, CSV_OPTIONS) if fmt == "csv" else (PROFILE_DDL, {})
-    rows = spark.read.format(fmt).options(**options).schema(ddl).load(path)
-    return rows.select(*StructType.fromDDL(ddl).names)
+    names = StructType.fromDDL(ddl).names
+    manifest = latest_manifest(spark, path)
+    if manifest is None:
+        rows = spark.read.format(fmt).options(**options).schema(ddl).load(path)
+        return rows.select(*names)
+    schema = StructType.fromDDL(ddl + (", bucket int" if manifest["buckets"] else ""))
+    return _versioned(spark, path, manifest, schema, options).select(*names)
+
+
+def vacuum(spark: SparkSession, path: str) -> list[str]:
+    """Remove run folders that the newest version does not name; returns them.
+
+    Call it when no run is writing: a run that has not committed yet owns an unnamed folder.
+    """
+    manifest = latest_manifest(spark, path)
+    if manifest is None:
+        return []
+    named = {"/".join(f.split("/", 2)[:2]) for f in manifest["folders"]}
+    fs, root, _ = _hadoop(spark, f"{path}/{DATA}")
+    removed = []
+    for status in fs.listStatus(root):
+        name = f"{DATA}/{status.getPath().getName()}"
+        if name not in named:
+            fs.delete(status.getPath(), True)
+            removed.append(name)
+    return removed
 
 
 PROFILE_DDL = (

@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagefolio.plans.profile import stamped
-from pagefolio.plans.sink import PROFILE_DDL, read_profiles, write_profiles
+from pagefolio.plans.sink import (
+    PROFILE_DDL,
+    ConcurrentRunError,
+    _commit,
+    latest_manifest,
+    read_profiles,
+    vacuum,
+    write_profiles,
+)
 
 DAY, NEXT = datetime.date(2025, 9, 1), datetime.date(2025, 9, 2)
 ROWS = [
@@ -60,3 +68,49 @@ def test_a_run_leaves_other_companies(spark, tmp_path, buckets, fmt):
     write_profiles(renamed(df, "18533", "three").unionByName(df.filter("company = 'B'")), path, fmt, buckets)
     got = {r.company_id: (r.filename, r.description) for r in read_profiles(spark, path, fmt).collect()}
     assert got == {"18533": ("A", "three"), "06134": ("A", "two"), "2": ("B", None)}
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_runs_with_other_layouts(spark, tmp_path, fmt):
+    """Default, then 4 buckets, then 8, then default again: one row per key, the newest text."""
+    path = str(tmp_path / "profiles")
+    df = spark.createDataFrame(ROWS, PROFILE_DDL)
+    ids = [str(i) for i in range(12)]
+    for run, buckets in enumerate([None, 4, 8, None, 8]):
+        chosen = ids[run::2] if run else ids
+        batch = spark.createDataFrame([(i,) for i in chosen], "cid string").crossJoin(df.filter("company = 'A'")).withColumns(
+            {"company_id": F.col("cid"), "description": F.lit(f"run {run}")}).drop("cid")
+        write_profiles(batch, path, fmt, buckets)
+        got = [(r.company_id, r.description) for r in read_profiles(spark, path, fmt).collect()]
+        assert len(got) == len({k for k, _ in got}) == len(ids)
+    got = dict((r.company_id, r.description) for r in read_profiles(spark, path, fmt).collect())
+    newest = {i: f"run {max(r for r in range(5) if i in (ids[r::2] if r else ids))}" for i in ids}
+    assert got == newest
+
+
+def test_failed_run_leaves_last_version(spark, tmp_path):
+    path = str(tmp_path / "profiles")
+    df = spark.createDataFrame(ROWS, PROFILE_DDL)
+    assert write_profiles(df, path, buckets=2) == 1
+    before = sorted(read_profiles(spark, path).collect())
+    broken = df.withColumn("description", F.when(F.col("company") == "A", F.raise_error("lost")).otherwise("x"))
+    with pytest.raises(Exception):
+        write_profiles(broken, path, buckets=2)
+    # A run stopped after some of its files: its folder is named by no manifest.
+    df.withColumn("bucket", F.lit(0)).write.partitionBy("updt_date", "bucket").parquet(f"{path}/data/v-0000000002-stopped")
+    assert sorted(read_profiles(spark, path).collect()) == before
+    assert vacuum(spark, path) == ["data/v-0000000002-stopped"]
+    assert sorted(read_profiles(spark, path).collect()) == before
+
+
+def test_concurrent_commit(spark, tmp_path):
+    """Two runs that read the same version: the second commit fails instead of mixing."""
+    path = str(tmp_path / "profiles")
+    df = spark.createDataFrame(ROWS, PROFILE_DDL)
+    write_profiles(df, path)
+    first = latest_manifest(spark, path)
+    _commit(spark, path, {**first, "version": 2})
+    with pytest.raises(ConcurrentRunError):
+        _commit(spark, path, {**first, "version": 2})
+    with pytest.raises(ValueError):
+        write_profiles(df, path, "csv")
