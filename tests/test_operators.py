@@ -9,7 +9,7 @@ from pagefolio.functions.selectors import alt, pick, tags
 from pagefolio.operators import extract
 from pagefolio.operators.choose import choose_candidate, is_served
 from pagefolio.operators.lists import joined, ordered_distinct, ordered_list
-from pagefolio.operators.prune import only_needed
+from pagefolio.operators.prune import expected_false_positives, filter_shape, only_needed
 from pagefolio.plans.profile import company_profiles
 from pagefolio.sources import pages as pages_source
 from pagefolio.sources import scratch
@@ -82,6 +82,20 @@ def test_only_needed(spark):
     assert found.columns == rows.columns and ids >= set(range(0, 20_000, 1000)) and len(ids) < 100
 
 
+def test_filter_fits_the_number_of_keys(spark):
+    # By arithmetic: fifty million wanted ids let about 1 % of the others pass, in 60 MB.
+    blocks, hashes = filter_shape(50_000_000)
+    assert blocks * 4096 < 64 * 2**20 and expected_false_positives(50_000_000, blocks, hashes) < 0.015
+    blocks, hashes = filter_shape(500_000_000)
+    assert blocks * 4096 <= 128 * 2**20 and expected_false_positives(500_000_000, blocks, hashes) < 0.5
+    # Measured: 30,000 wanted among 300,000.
+    rows = spark.range(300_000)
+    wanted = spark.range(0, 300_000, 10).withColumnRenamed("id", "k")
+    ids = {r.id for r in only_needed(rows, F.col("id"), wanted, F.col("k")).collect()}
+    others = len(ids) - 30_000
+    assert ids >= set(range(0, 300_000, 10)) and others < 0.02 * 270_000
+
+
 def test_html_is_pruned_before_its_shuffle(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(scratch, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(pages_source, "PUSHED_KEYS", 0)
