@@ -89,8 +89,28 @@ SPECS_PER_ROW = 64
 PAGE = ["page_id", "page_url"]
 
 
+def page_digests(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``page_id, page_url, html_sha`` of the wanted pages: the digest of their HTML, copies included.
+
+    Reads the HTML but keeps only 64 characters of it; a change of any copy changes the digest.
+    """
+    html = fetch(pages, wanted.select(*PAGE).distinct())
+    return html.groupBy(*PAGE).agg(
+        F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2(F.coalesce("html", F.lit("")), 256))), ","), 256).alias("html_sha")
+    )
+
+
+def _stored(spark, store: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(store)
+    except Exception as error:  # a store that was never written
+        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+            return None
+        raise
+
+
 def evaluated(
-    wanted: DataFrame, specs: DataFrame, pages: DataFrame, values, attrs, with_strings: bool
+    wanted: DataFrame, specs: DataFrame, pages: DataFrame, values, attrs, with_strings: bool, store: str | None = None
 ) -> DataFrame:
     """``wanted`` with the values of its ``spec_key`` on its page.
 
@@ -100,14 +120,27 @@ def evaluated(
 
     Specs meet their pages before any HTML is read and travel along in the row of the page. So
     documents are never shuffled or sorted, and a spec that most pages share is no key of theirs.
+
+    With ``store`` (a folder shared by the cluster) runs are incremental: results are kept by page,
+    digest of its HTML and spec key, and a pair found there is not evaluated again, so a run over an
+    unchanged crawl explodes no page; a page whose HTML changed is read again. New results are
+    appended to the store. ``spec_key`` must name the spec's content (the digest of its JSON).
     """
     specs = written(specs, "specs")
     rows = -(-specs.count() // SPECS_PER_ROW) or 1
     found = wanted.filter("page_id is not null")
+    pairs = found.select(*PAGE, "spec_key").distinct()
+    reused = None
+    if store:
+        keyed = written(pairs.join(page_digests(pages, pairs), PAGE), "keyed")
+        kept = _stored(wanted.sparkSession, store)
+        if kept is not None:
+            keys = [*PAGE, "html_sha", "spec_key"]
+            reused = written(kept.join(keyed, keys, "left_semi").dropDuplicates(keys), "reused")
+            pairs = keyed.join(reused.select(*keys), keys, "left_anti")
+        pairs = pairs.select(*PAGE, "spec_key")
     groups = (
-        found.select(*PAGE, "spec_key")
-        .distinct()
-        .join(size_checked(specs), "spec_key")
+        pairs.join(size_checked(specs), "spec_key")
         .groupBy(*PAGE, F.pmod(F.xxhash64("spec_key"), F.lit(rows)).alias("group"))
         .agg(F.collect_list(F.struct("spec_key", "spec")).alias("specs"))
         .drop("group")
@@ -129,6 +162,10 @@ def evaluated(
     # written, so that adaptive execution can split a page that very many rows point to.
     results = results.groupBy(*PAGE, "spec_key").agg(F.max("found").alias("found"))
     results = written(results.select(*PAGE, "spec_key", "found.*"), "results")
+    if store:
+        results.join(keyed, [*PAGE, "spec_key"]).write.mode("append").parquet(store)
+        if reused is not None:
+            results = results.unionByName(reused.select(results.columns))
     # Rows without a page stay out of the join, where they would all share one key.
     missing = wanted.filter("page_id is null")
     return found.join(results, [*PAGE, "spec_key"], "left").unionByName(
@@ -136,9 +173,9 @@ def evaluated(
     )
 
 
-def evaluated_outputs(wanted: DataFrame, specs: DataFrame, pages: DataFrame) -> DataFrame:
-    return evaluated(wanted, specs, pages, page_values, page_attrs, with_strings=False)
+def evaluated_outputs(wanted: DataFrame, specs: DataFrame, pages: DataFrame, store: str | None = None) -> DataFrame:
+    return evaluated(wanted, specs, pages, page_values, page_attrs, with_strings=False, store=store)
 
 
-def evaluated_articles(wanted: DataFrame, specs: DataFrame, pages: DataFrame) -> DataFrame:
-    return evaluated(wanted, specs, pages, article_values, article_attrs, with_strings=True)
+def evaluated_articles(wanted: DataFrame, specs: DataFrame, pages: DataFrame, store: str | None = None) -> DataFrame:
+    return evaluated(wanted, specs, pages, article_values, article_attrs, with_strings=True, store=store)

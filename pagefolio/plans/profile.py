@@ -26,6 +26,7 @@ from pagefolio.functions.news import FIELDS, layout
 from pagefolio.operators.choose import choose_candidate, is_served
 from pagefolio.operators.extract import evaluated_articles, evaluated_outputs
 from pagefolio.operators.lists import joined
+from pagefolio.sources.crawl_index import latest_from_index
 from pagefolio.sources.pages import latest_crawl
 from pagefolio.sources.rules import SPEC_DDL
 from pagefolio.sources.scratch import written
@@ -68,22 +69,27 @@ def specs_of(rules: DataFrame, kind: str) -> DataFrame:
     return texts.select("spec_key", F.from_json(f"{kind}_spec", SPEC_DDL[kind]).alias("spec"))
 
 
-def choose_pages(rules: DataFrame, pages: DataFrame) -> DataFrame:
+def newest(pages: DataFrame, urls: DataFrame, index: DataFrame | None) -> DataFrame:
+    """The newest crawl of the wanted URLs, from the crawl index if there is one."""
+    return latest_crawl(pages, urls) if index is None else latest_from_index(index, urls)
+
+
+def choose_pages(rules: DataFrame, pages: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Every output of every company with the page that serves it; ``page_id`` may be null."""
-    crawl = latest_crawl(pages, rules.select(F.col("request_url").alias("url")))
+    crawl = newest(pages, rules.select(F.col("request_url").alias("url")), index)
     candidates = rules.drop("page_spec", "article_spec").join(
         crawl.withColumnRenamed("url", "request_url"), "request_url", "left"
     )
     return choose_candidate(candidates, *COMPANY, "output", "part")
 
 
-def read_outputs(chosen: DataFrame, rules: DataFrame, pages: DataFrame) -> DataFrame:
+def read_outputs(chosen: DataFrame, rules: DataFrame, pages: DataFrame, store: str | None = None) -> DataFrame:
     """Descriptions, client names and listing links."""
     wanted = chosen.filter("output != 'article'").withColumnRenamed("page_key", "spec_key")
-    return evaluated_outputs(wanted, specs_of(rules, "page"), pages)
+    return evaluated_outputs(wanted, specs_of(rules, "page"), pages, store and f"{store}/outputs")
 
 
-def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) -> DataFrame:
+def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """The article of every company: at a fixed address, or behind the link of its listing."""
     columns = [*COMPANY, "article_url", "article_key", "layout", "page_id", "page_url"]
     fixed = (
@@ -97,7 +103,7 @@ def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) ->
         .withColumn("request_url", requested(F.col("article_url")))
         .drop("page_id", "page_url")
     )
-    crawl = latest_crawl(pages, links.select(F.col("request_url").alias("url")))
+    crawl = newest(pages, links.select(F.col("request_url").alias("url")), index)
     served = crawl.filter(is_served(F.col("status"))).select(
         F.col("url").alias("request_url"), "page_id", "page_url"
     )
@@ -105,10 +111,10 @@ def wanted_articles(chosen: DataFrame, outputs: DataFrame, pages: DataFrame) ->
     return linked.unionByName(fixed)
 
 
-def news_items(articles: DataFrame, rules: DataFrame, pages: DataFrame) -> DataFrame:
+def news_items(articles: DataFrame, rules: DataFrame, pages: DataFrame, store: str | None = None) -> DataFrame:
     """``news`` and ``news_fields`` of every company with an article."""
     wanted = articles.withColumnRenamed("article_key", "spec_key")
-    read = evaluated_articles(wanted, specs_of(rules, "article"), pages)
+    read = evaluated_articles(wanted, specs_of(rules, "article"), pages, store and f"{store}/articles")
     fields = F.struct(
         F.col("article_url").alias("url"), *[F.col(f"fields.{f}").alias(f) for f in FIELDS]
     )
@@ -183,16 +189,21 @@ def company_profiles(
     rules: DataFrame,
     company_ids: Iterable[str] | DataFrame | None = None,
     run_date: datetime.date | None = None,
+    crawl_index: DataFrame | None = None,
+    results_store: str | None = None,
 ) -> DataFrame:
     """Profiles of all companies in ``rules``, or of those with the given ids.
 
     ``pages``: ``page_id, url, html`` and, if known, ``status``. The URL is the address as
     requested, without fragment; a root may lack its slash. A page is known by ``page_id`` and
     ``url`` together, and a null status counts as 200. Steps 1 and 2 run when this is called.
+    ``crawl_index`` (``sources.crawl_index``, written from the same pages) spares the shuffle of the
+    crawl's URLs when pages are chosen. ``results_store`` (a shared folder) makes runs incremental:
+    a page whose HTML is unchanged since a run that stored there is not parsed again.
     """
     rules = written(prepared(of_companies(rules, company_ids)), "rules")
-    chosen = written(choose_pages(rules, pages), "chosen")
-    outputs = written(read_outputs(chosen, rules, pages), "outputs")
-    articles = written(wanted_articles(chosen, outputs, pages), "articles")
-    news = news_items(articles, rules, pages)
+    chosen = written(choose_pages(rules, pages, crawl_index), "chosen")
+    outputs = written(read_outputs(chosen, rules, pages, results_store), "outputs")
+    articles = written(wanted_articles(chosen, outputs, pages, crawl_index), "articles")
+    news = news_items(articles, rules, pages, results_store)
     return stamped(assemble(rules, outputs, news), run_date)
