@@ -47,7 +47,6 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.memory: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:

@@ -348,7 +348,6 @@ def test_packing(docs, monkeypatch, group_rows):
     monkeypatch.setattr(packing, "GROUP_ROWS", group_rows)
     path, capacity = public_tokenizers.path("word_bpe_49k.json"), 512
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     want = collections.Counter()
     for i, text in pairs(docs):
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, packing.END_ID], "<u4")
@@ -366,3 +365,13 @@ def test_packing(docs, monkeypatch, group_rows):
         assert sum(n for _, n in parts) <= capacity
     assert len(bins) <= -(-sum(r.length for r in rows) // capacity) + 1
     assert packing.packed_documents(empty(docs), path).count() == 0
+
+
+def test_packing_special_strings_as_the_library():
+    """Special tokens in a text are what the library makes of them with add_special_tokens=False."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["hello <|endoftext|> world", "<|startoftext|>x", "plain words only", "<|ENDOFTEXT|> <|end"]
+    got = packing.Encoder(path).encode(texts)
+    assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert np.frombuffer(got[0], "<u4").tolist() == [3306, 49407, 1002]
