@@ -49,8 +49,8 @@ KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 3, 4, 3, 3
 SENTENCE_END = "[.!?]"
 BLANK = re.compile(r"[^\x20\x09-\x0D]")
 # Re-Pair: rules per Spark job, and the most rules (more only save time).
-PAIRS_PER_ROUND = 16
-MAX_RULES = 512
+PAIRS_PER_ROUND = 32
+MAX_RULES = 128
 
 START, AFTER_S, AFTER_U, AFTER_A = range(4)
 ACCEPTING = (START, AFTER_A)
