@@ -17,11 +17,13 @@ the product of its two parts, computed once, bottom-up, and shared by every conv
 conversation then multiplies the matrices of its compressed string. The grammar changes only the
 speed: any grammar gives the same result.
 
-What moves: damage, symbols and Re-Pair counts are Spark expressions and aggregates; each
-conversation is one group whose rows are ordered and folded in a pandas task (the contract's
-digest of the repaired conversation is one sequential hash over its rows, so a conversation is not
-split). Pair counts are partial aggregates; only the ``PAIRS_PER_ROUND`` best pairs of a round come
-to the driver.
+What moves: damage, faults (a window per role and text finds duplicates), symbols and the order
+of a conversation's rows are Spark expressions; a conversation becomes one row of its sorted rows
+(the contract's digest of the repaired conversation is one sequential hash over its rows, so a
+conversation is not split). Re-Pair pair counts are partial aggregates, and only the
+``PAIRS_PER_ROUND`` best pairs of a round come to the driver. The programme runs once per distinct
+compressed string, which conversations share, in Arrow batches; each conversation then only
+replays its audit and hashes its repaired rows.
 
 Cases: null conv_id is one conversation of its own; null role or text is one space, before damage;
 null turns sort first; rows of equal turn sort by role and text, and equal rows are copies (the
@@ -34,14 +36,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagefolio.sources.scratch import written
+from pagefolio.llm.text import slices
+from pagefolio.sources.scratch import size_checked, written
 
 # Fixed values of the contract: damage by crc32 of `conv_id:turn` mod 20, and the edit costs.
 DROP, EMPTY, UNPUNCTUATE, REPEAT, AS_USER = 0, 1, 2, 3, 4
@@ -225,6 +228,11 @@ def cheapest(string: str, matrices: dict[str, Matrix]) -> tuple[int, str]:
 
 def repaired(rows: pd.DataFrame, audit: str) -> list[str]:
     """``role:text`` of the repaired rows, by replaying the audit on the states of the pattern."""
+    return replayed(list(rows["role"]), list(rows["text"]), audit)
+
+
+def replayed(roles: list[str], texts: list[str], audit: str) -> list[str]:
+    """``role:text`` of the repaired rows of ordered rows; a kept or rerolled row keeps its text."""
     out, state, r = [], START, 0
     for edit in audit:
         if edit == "I":
@@ -232,7 +240,7 @@ def repaired(rows: pd.DataFrame, audit: str) -> list[str]:
             state = NEXT[state, role[0]]
             out.append(f"{role}:")
             continue
-        role, text = rows["role"][r], rows["text"][r]
+        role, text = roles[r], texts[r]
         r += 1
         if edit == "K":
             state = NEXT[state, role[0]]
@@ -244,28 +252,42 @@ def repaired(rows: pd.DataFrame, audit: str) -> list[str]:
     return out
 
 
-def _summary(conv_id, rows: pd.DataFrame, rules, matrices) -> dict:
-    rows = _ordered(rows)
-    fault = faults(rows)
-    turns = rows["turn"].dropna()
-    gaps = int(turns.max() - turns.min() + 1 - turns.nunique()) if len(turns) else 0
-    initials = [r[:1] for r in rows["role"]]
-    illegal = sum(1 for x, y in zip(initials, initials[1:]) if x + y not in LEGAL_PAIRS)
-    cost, audit = cheapest(compress(symbols(rows, fault), rules), matrices)
-    digest = hashlib.sha256("\n".join(repaired(rows, audit)).encode()).hexdigest()
-    return {
-        "conv_id": conv_id, "gaps": gaps, "blank": fault.count("blank"), "duplicate": fault.count("duplicate"),
-        "truncated": fault.count("truncated"), "illegal": illegal, "cost": cost, "audit": audit,
-        "repaired_sha256": digest, "n_rows": len(rows),
-    }
-
+def with_symbols(rows: DataFrame) -> DataFrame:
+    """Damaged rows with their first fault and terminal letter, as Spark expressions.
 
-def _symbol_strings(rows: DataFrame) -> DataFrame:
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        ordered = _ordered(group)
-        return pd.DataFrame({"conv_id": group["conv_id"][:1], "s": [symbols(ordered, faults(ordered))]})
-
-    return rows.groupBy("conv_id").applyInPandas(run, "conv_id long, s string")
+    A row is a duplicate if an earlier row of its conversation has its role and text: the rows of
+    one role and text are numbered in conversation order (equal rows are copies, any of them may
+    come first).
+    """
+    earlier = Window.partitionBy("conv_id", "role", "text").orderBy(F.col("turn").isNotNull(), "turn")
+    blank = ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    truncated = ~F.col("text").rlike(r"[.!?][\x20\x09-\x0D]*\z")
+    fault = (
+        F.when(blank, "blank").when(F.row_number().over(earlier) > 1, "duplicate")
+        .when(truncated, "truncated").otherwise("")
+    )
+    initial = F.when(F.col("role").startswith("s"), "s").when(F.col("role").startswith("u"), "u") \
+        .when(F.col("role").startswith("a"), "a").otherwise("o")
+    rows = rows.withColumn("fault", fault)
+    kind = F.concat(initial, F.when(F.col("fault") == "truncated", "t").otherwise("n"))
+    letter = F.lit(LETTER["F"])
+    for name, value in LETTER.items():
+        if name != "F":
+            letter = F.when(kind == name, value).otherwise(letter)
+    return rows.withColumn("sym", F.when(F.col("fault").isin("blank", "duplicate"), LETTER["F"]).otherwise(letter))
+
+
+def conversation_rows(rows: DataFrame) -> DataFrame:
+    """One row per conversation: its ordered rows, symbol string and counts."""
+    # Equal rows are copies: the one that is no duplicate comes first.
+    ordered = F.sort_array(F.collect_list(F.struct(
+        F.col("turn").isNotNull().alias("k"), "turn", "role", "text", (F.col("fault") == "duplicate").alias("d"), "sym")))
+    n_turns = F.count_distinct("turn")
+    return rows.groupBy("conv_id").agg(
+        ordered.alias("rows"),
+        F.coalesce(F.max("turn") - F.min("turn") + 1 - n_turns, F.lit(0)).cast("long").alias("gaps"),
+        *[F.sum((F.col("fault") == f).cast("long")).alias(f) for f in ("blank", "duplicate", "truncated")],
+    ).withColumn("s", F.array_join(F.transform("rows", lambda x: x["sym"]), ""))
 
 
 def grammar(strings: DataFrame, max_rules: int = MAX_RULES, per_round: int = PAIRS_PER_ROUND) -> list[tuple[str, str, str]]:
@@ -289,18 +311,44 @@ def grammar(strings: DataFrame, max_rules: int = MAX_RULES, per_round: int = PAI
 
 def repaired_conversations(conversations: DataFrame, max_rules: int = MAX_RULES) -> DataFrame:
     """One row per conv_id of ``conversations (conv_id, turn, role, text)``, as the module states."""
-    rows = written(damaged(conversations), "repair_rows")
-    rules = grammar(written(_symbol_strings(rows), "repair_symbols"), max_rules)
+    convs = written(conversation_rows(with_symbols(damaged(conversations))), "repair_conversations")
+    rules = grammar(convs.select("s"), max_rules)
     matrices = rule_matrices(rules)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        conv_id = group["conv_id"].iloc[0]
-        return pd.DataFrame([_summary(None if pd.isna(conv_id) else int(conv_id), group, rules, matrices)])
-
-    found = rows.groupBy("conv_id").applyInPandas(run, RESULT_DDL)
+    compressed = F.col("s")
+    for symbol, left, right in rules:
+        compressed = F.replace(compressed, F.lit(left + right), F.lit(symbol))
+    convs = convs.withColumn("c", compressed)
+
+    # The programme runs once per distinct compressed string; conversations share them.
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [cheapest(c, matrices) for c in batch.column(0).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array([f[0] for f in found], pa.int64()),
+                                   pa.array([f[1] for f in found], pa.string())], ["c", "cost", "audit"])
+
+    solved = written(convs.select("c").distinct().mapInArrow(solve, "c string, cost long, audit string"), "repair_solved")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                illegal, sha = [], []
+                for rows, audit in zip(part.column("rows").to_pylist(), part.column("audit").to_pylist(), strict=True):
+                    roles = [r["role"] for r in rows]
+                    initials = [r[:1] for r in roles]
+                    illegal.append(sum(1 for x, y in zip(initials, initials[1:]) if x + y not in LEGAL_PAIRS))
+                    lines = replayed(roles, [r["text"] for r in rows], audit)
+                    sha.append(hashlib.sha256("\n".join(lines).encode()).hexdigest())
+                yield pa.record_batch(
+                    [part.column(c) for c in ("conv_id", "gaps", "blank", "duplicate", "truncated")]
+                    + [pa.array(illegal, pa.int64()), part.column("cost"), part.column("audit"), pa.array(sha, pa.string())],
+                    ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+                )
+
+    joined = convs.join(size_checked(solved), "c").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "cost", "audit", "rows")
+    found = joined.mapInArrow(digest, RESULT_DDL.rsplit(", n_rows long", 1)[0])
     every = conversations.select(F.col("conv_id").cast("long")).distinct()
     empty = hashlib.sha256(b"").hexdigest()
-    out = every.join(found, every["conv_id"].eqNullSafe(found["conv_id"]), "left").select(every["conv_id"], *[
+    return every.join(found, every["conv_id"].eqNullSafe(found["conv_id"]), "left").select(every["conv_id"], *[
         F.coalesce(found[c], F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
     ], F.coalesce(found["audit"], F.lit("")).alias("audit"), F.coalesce(found["repaired_sha256"], F.lit(empty)).alias("repaired_sha256"))
-    return out
