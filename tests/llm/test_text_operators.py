@@ -319,6 +319,19 @@ def test_personal_data(spark, docs):
     assert personal_data.personal_spans(empty(docs), personal_data.train(empty(docs))).count() == 0
 
 
+def test_no_spans_added_to_clean_prose(spark):
+    """Documents of sf0.1 without a digit, @ or spelled-out dot get no span: sentence ends after "at" are no hosts."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    field = personal_data.train(docs)
+    clean = docs.filter(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[0-9@]|\(dot\)|\[dot\]|(?<= )dot(?= )"))
+    assert clean.count() > 1000
+    assert personal_data.personal_spans(clean, field).filter("spans != ''").count() == 0
+    # The sentence ends that used to be taken for addresses.
+    prose = ["is of at and. The end", "a in at and. Thannd", "Reen st. At and. Rean"]
+    table = spark.createDataFrame(list(enumerate(prose)), "doc_id long, text string")
+    assert {r.spans for r in personal_data.personal_spans(table, field).collect()} == {""}
+
+
 def test_spelled_out_addresses(spark):
     """An address without a digit or ``@`` is found where it stands alone, and plain words are not."""
     texts = ["jane.doe at example dot com", "please write to max (at) example.org before the week ends", "info [at] example [dot] net",
