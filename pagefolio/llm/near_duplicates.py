@@ -454,10 +454,16 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: int = THRES
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stand for their group of near duplicates, with all columns.
+    """One row of each group of near duplicates, with all columns of ``docs``.
 
-    ``doc_id`` should be unique; of repeated rows all or none are kept.
+    Rows are told apart by their place in the input, which is written first: repeated rows and
+    rows without ``doc_id`` are documents of their own, so of two equal rows one stays, and a row
+    without id that copies another leaves with it. Of a group the row first in the input stays.
     """
-    kept = near_duplicate_groups(docs, size, threshold).filter("kept").select("doc_id").distinct()
-    known = docs.filter("doc_id is not null").join(written(kept, "kept"), "doc_id", "left_semi")
-    return known.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "dedup_rows")
+    groups = near_duplicate_groups(rows.select(F.col(key).alias("doc_id"), "text"), size, threshold)
+    kept = written(groups.filter("kept").select(F.col("doc_id").alias(key)), "kept")
+    return rows.join(kept, key, "left_semi").drop(key)

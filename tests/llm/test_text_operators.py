@@ -134,6 +134,15 @@ def test_language(spark, docs):
     assert {r.lang_pred for r in language_id.predictions(table, none).collect()} == {"und"}
 
 
+def test_sample_bound_shared_by_languages(spark):
+    """A hundred lang values share one row bound; rows stay float32."""
+    rows = [(i, f"{'abcdefghij'[i % 10]}{'klmnopqrst'[(i // 10) % 10]} word {i}", f"l{i % 100}") for i in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language_id.sample_features(table, total=400)
+    assert len(samples) == 100 and all(x.dtype == np.float32 and len(x) <= 4 for x in samples.values())
+    assert sum(len(x) for x in samples.values()) <= 400
+
+
 def test_documents_in_learned_languages(spark):
     """Unlearned languages and gibberish go, clean documents stay, and all stay where no row is labelled."""
     rng = random.Random(6)
@@ -193,12 +202,20 @@ def test_near_duplicates(docs, monkeypatch, size, small_band):
     assert collections.Counter(map(tuple, groups.collect())) == plain_groups(pairs(docs), size)
 
 
-def test_without_near_duplicates(docs):
+def test_without_near_duplicates(spark, docs):
+    docs = docs.filter("doc_id is not null")
     kept = near_duplicates.without_near_duplicates(docs)
     assert kept.columns == docs.columns
-    want = {row[0] for row in plain_groups(pairs(docs), 5) if row[3]}
-    assert {r.doc_id for r in kept.collect()} == want
+    component = {row[0]: row[2] for row in plain_groups(pairs(docs), 5)}
+    got = [component[r.doc_id] for r in kept.collect()]
+    assert sorted(got) == sorted(set(component.values()))
     assert near_duplicates.without_near_duplicates(empty(docs)).count() == 0
+    # Repeated rows and rows without id: one row of each group stays; a column named like the row key stays too.
+    text, other = " ".join(f"w{i}" for i in range(40)), "other words here " * 10
+    rows = [(1, text, 7), (1, text, 7), (None, text, 7), (None, other, 7), (None, other, 7), (2, "", 7), (3, None, 7)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _row long")
+    got = [tuple(r) for r in near_duplicates.without_near_duplicates(table).collect()]
+    assert sorted(got, key=str) == sorted([(1, text, 7), (None, other, 7), (2, "", 7), (3, None, 7)], key=str)
 
 
 def test_block_counts():
