@@ -2,8 +2,10 @@
 
 Both steps are linear support vector machines on hashed character n-grams of the whole text:
 one-versus-rest machines choose the family, one-versus-one machines vote among the languages of
-that family. They are trained on the driver, on a sample of labelled documents whose size is
-bounded by ``PER_LANGUAGE`` rows for each language, whatever the size of the table.
+that family. They are trained in one Spark task, on a sample of labelled documents whose size is
+bounded by ``TOTAL_ROWS`` rows in all, shared evenly by the languages, whatever the size of the
+table and the number of distinct ``lang`` values. Feature rows are float32 (16 KB a row, so at most
+64 MB for the sample); the machines copy them once with their bias column.
 
 A text that is null, empty or without a letter is ``und`` with score 0. A language that no family
 names belongs to the family ``other``. Without labelled rows every text is ``und``.
@@ -16,12 +18,14 @@ nothing is dropped there but ``und``.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +37,13 @@ FAMILIES = {
     "slavic": ["ru", "uk", "pl", "cs", "bg", "sr"],
 }
 BUCKETS = 4096
-PER_LANGUAGE = 1000
+# Labelled rows that training reads at most, shared by the languages (a documented sample bound).
+TOTAL_ROWS = 4000
 # A text is in a language if its margins reach this share of those that all but one in a hundred
 # texts of the language reach. Languages of fewer rows than ``LEAST_ROWS`` reject nothing.
 FLOOR_SHARE, FLOOR_QUANTILE, LEAST_ROWS = 0.2, 0.01, 20
-LETTER = re.compile(r"[^\W\d_]")
+# A letter is a character of the Unicode category L (as \pL in SQL): not ½, ² or Ⅷ.
+LETTER = regex.compile(r"\p{L}")
 # Characters that are turned into bytes and counted at a time.
 CHUNK_CHARS = 1 << 20
 
@@ -68,7 +74,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 6
 
     Newton steps with conjugate gradients; both classes weigh the same in the loss.
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
@@ -93,16 +99,14 @@ def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 6
     return w
 
 
-def sample_features(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> dict[str, np.ndarray]:
-    """Feature rows of at most ``per_language`` documents of each language.
+def sample_rows(labelled: DataFrame, total: int = TOTAL_ROWS) -> DataFrame:
+    """``lang, place, x``: float32 feature rows of at most about ``total // languages`` documents per language.
 
     Rows are taken by the hash of the text: a threshold per language, from its count, keeps
-    about as many as wanted, so that no text is sorted or gathered anywhere. The few rows above
-    the bound are then left out by hash order.
+    about as many as wanted, so that no text is sorted or gathered anywhere.
     """
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not sizes:
-        return {}
+    per_language = max(1, total // max(len(sizes), 1))
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
@@ -117,13 +121,26 @@ def sample_features(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> di
                     [part.column(0), part.column(2), pa.array(rows, pa.binary())], ["lang", "place", "x"]
                 )
 
+    return chosen.mapInArrow(run, "lang string, place double, x binary").withColumn("_quota", F.lit(per_language))
+
+
+def _stacked(rows: list[tuple[str, float, bytes]], per_language: int) -> dict[str, np.ndarray]:
+    """Feature rows by language, at most ``per_language`` each, the first by hash place."""
     found: dict[str, list] = {}
-    for row in chosen.mapInArrow(run, "lang string, place double, x binary").toLocalIterator():
-        found.setdefault(row["lang"], []).append((row["place"], bytes(row["x"])))
-    return {
-        lang: np.array([np.frombuffer(x, np.float32) for _, x in sorted(rows)[:per_language]], float)
-        for lang, rows in sorted(found.items())
-    }
+    for lang, place, x in rows:
+        found.setdefault(lang, []).append((place, x))
+    samples = {}
+    for lang in sorted(found):
+        taken = sorted(found.pop(lang))[:per_language]
+        samples[lang] = np.frombuffer(b"".join(x for _, x in taken), np.float32).reshape(len(taken), BUCKETS)
+    return samples
+
+
+def sample_features(labelled: DataFrame, total: int = TOTAL_ROWS) -> dict[str, np.ndarray]:
+    """The sample of ``sample_rows`` on the driver (for tests and small tables)."""
+    rows = sample_rows(labelled, total).collect()
+    quota = rows[0]["_quota"] if rows else 1
+    return _stacked([(r["lang"], r["place"], bytes(r["x"])) for r in rows], quota)
 
 
 class LanguageModel:
@@ -155,7 +172,7 @@ class LanguageModel:
             half = LanguageModel(seen, families, floors=False)
             for lang, x in samples.items():
                 if len(x) >= LEAST_ROWS:
-                    tried = [half.decide(np.append(row, 1.0)) for row in x[1 - fold :: 2]]
+                    tried = [half.decide(np.append(row, np.float32(1.0))) for row in x[1 - fold :: 2]]
                     found.setdefault(lang, []).extend(margins for name, *margins in tried if name == lang)
         return {
             lang: tuple(FLOOR_SHARE * np.quantile(rows, FLOOR_QUANTILE, axis=0, method="lower"))
@@ -214,10 +231,28 @@ def remainder(doc_id: Column, mod: int) -> Column:
 
 
 def train(docs: DataFrame) -> LanguageModel:
-    """A model of the documents that are not held out and have a text and a language."""
+    """A model of the documents that are not held out and have a text and a language.
+
+    The machines are fitted in one Spark task over the bounded sample (at most ``TOTAL_ROWS`` rows
+    of 16 KB); only the fitted model comes to the driver.
+    """
     usable = docs.filter("text is not null and lang is not null")
     learned = usable.filter(remainder(F.col("doc_id"), 4) != 2)
-    return LanguageModel(sample_features(learned.select("doc_id", "text", "lang")))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, quota = [], 1
+        for batch in batches:
+            if batch.num_rows:
+                quota = batch.column(3)[0].as_py()
+            rows += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+        # The fitted state only: weights, languages and floors.
+        state = LanguageModel(_stacked(rows, quota)).__dict__
+        yield pa.record_batch([pa.array([pickle.dumps(state)], pa.binary())], ["model"])
+
+    fitted = sample_rows(learned.select("doc_id", "text", "lang")).coalesce(1).mapInArrow(fit, "model binary").collect()
+    model = LanguageModel.__new__(LanguageModel)
+    model.__dict__.update(pickle.loads(fitted[0]["model"]) if fitted else LanguageModel({}).__dict__)
+    return model
 
 
 def predictions(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -16,13 +16,15 @@ from functools import cached_property
 
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagefolio.llm.text import slices, words
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
-LETTER = re.compile(r"[^\W\d_]")
+# A letter is a character of the Unicode category L (as \pL in SQL): not ½, ² or Ⅷ.
+LETTER = regex.compile(r"\p{L}")
 WINDOW = 8
 # Documents on which costs are measured; it bounds the sample at every input size.
 SAMPLE_ROWS = 400

@@ -405,3 +405,10 @@ def test_packing_special_strings_as_the_library():
     got = packing.Encoder(path).encode(texts)
     assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert np.frombuffer(got[0], "<u4").tolist() == [3306, 49407, 1002]
+
+
+def test_letters_are_unicode_letters():
+    """Numbers that Python calls alphanumeric are no letters: such a text is und."""
+    model = language_id.LanguageModel({"en": np.ones((2, language_id.BUCKETS), np.float32)})
+    assert model.predict("½ ² Ⅷ") == ("und", 0.0) and model.predict("") == ("und", 0.0)
+    assert quality_rules.LETTER.search("ß") and not quality_rules.LETTER.search("½²Ⅷ١")
