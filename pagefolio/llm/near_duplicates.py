@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pagefolio.llm.components import components
 from pagefolio.llm.text import lower_ascii, slices, words
 from pagefolio.operators.prune import only_needed
-from pagefolio.sources.scratch import written
+from pagefolio.sources.scratch import size_checked, written
 
 HASHES, BAND_ROWS, BATCH = 240, 6, 24
 THRESHOLD = 80  # percent
@@ -466,4 +466,6 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THR
     rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "dedup_rows")
     groups = near_duplicate_groups(rows.select(F.col(key).alias("doc_id"), "text"), size, threshold)
     kept = written(groups.filter("kept").select(F.col("doc_id").alias(key)), "kept")
-    return rows.join(kept, key, "left_semi").drop(key)
+    # The kept keys are broadcast if they measure small, so that texts stay where they are; else
+    # both sides are sorted by key.
+    return rows.join(size_checked(kept), key, "left_semi").drop(key)
