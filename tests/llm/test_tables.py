@@ -188,7 +188,7 @@ def test_lists_are_cut_at_their_own_length():
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     want = con.sql(queries.ORACLES[name]).select(*df.columns).fetchall()
@@ -197,7 +197,7 @@ def test_sql(spark, name):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
