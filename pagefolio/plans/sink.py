@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,11 @@ CSV_OPTIONS = {
 }
 
 
+# A table of more companies than this has no folder for each of them, unless asked for, but one for
+# about so many of them.
+COMPANY_FOLDERS = 1000
+
+
 class ConcurrentRunError(RuntimeError):
     """Another run committed a version of the table after this run read it."""
 
@@ -76,21 +82,15 @@ def _commit(spark: SparkSession, path: str, manifest: dict) -> None:
         stream.close()
 
 
-def _leaf_folders(spark: SparkSession, folder: str) -> list[str]:
-    """Folders under ``folder`` that hold data files, relative to it."""
-    fs, root, _ = _hadoop(spark, folder)
+def _leaf_folders(spark: SparkSession, folder: str, partitions: list[str]) -> list[str]:
+    """Partition folders under ``folder``, relative to it. Lists folders only, not their files."""
+    fs, root, jvm = _hadoop(spark, folder)
     if not fs.exists(root):
         return []
     prefix = fs.makeQualified(root).toString().rstrip("/") + "/"
-    found, files = set(), fs.listFiles(root, True)
-    while files.hasNext():
-        status = files.next()
-        name = status.getPath().getName()
-        if name.startswith(("_", ".")):
-            continue
-        full = status.getPath().getParent().toString()
-        found.add(full[len(prefix):] if full.startswith(prefix) else "")
-    return sorted(found)
+    literal = re.sub(r"([\\{}\[\]*?,^])", r"\\\1", prefix)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(literal + "/".join(f"{c}=*" for c in partitions)))
+    return sorted(status.getPath().toString().removeprefix(prefix) for status in found)
 
 
 def write_profiles(
@@ -106,12 +106,15 @@ def write_profiles(
     ``ConcurrentRunError`` and may run again).
 
     By default every date, source and company id is a partition, so a run for one company
-    supersedes only that company's folder. A run for very many gives ``buckets``, the number of
-    folders per date: companies are dealt out by a hash of their id, and the rows that stay in the
-    touched folders are written again with the new ones. A run with another layout than the
-    table's (default against buckets, or another bucket count) moves every live row to the new
-    layout in the same version, so one row per key remains whatever the runs' layouts were. A
-    table has one format; another one raises ``ValueError``.
+    supersedes only that company's folder. With ``buckets``, the number of folders per date,
+    companies are dealt out by a hash of their id, and the rows that stay in the touched folders are
+    written again with the new ones. A table that would get more than ``COMPANY_FOLDERS`` company
+    folders is dealt out by itself, about that many companies to a folder and date: a folder and a
+    file for each would cost the driver more than all the rows. Later default runs keep its bucket
+    count. A run with another layout than the table's (default against ``buckets``, or another
+    bucket count) moves every live row to the new layout in the same version, so one row per key
+    remains whatever the runs' layouts were. A table has one format; another one raises
+    ``ValueError``.
     """
     spark = profiles.sparkSession
     current = latest_manifest(spark, path)
@@ -121,8 +124,12 @@ def write_profiles(
         profiles = profiles.select("description", "clients", "news", *KEY)
     if fmt == "csv":
         options = {**CSV_OPTIONS, **options}
+    new = written(profiles, "profiles")
+    dealt = not buckets
+    buckets = buckets or _needed_buckets(spark, path, new, current, options)
+    dealt = dealt and bool(buckets)
     partitions = ["updt_date", "bucket"] if buckets else list(KEY)
-    new = written(bucketed(profiles, buckets) if buckets else profiles, "profiles")
+    new = bucketed(new, buckets) if buckets else new
     version = (current["version"] if current else 0) + 1
     run = f"{DATA}/v-{version:010d}-{uuid.uuid4().hex}"
 
@@ -145,20 +152,35 @@ def write_profiles(
             stay = bucketed(stay, buckets) if buckets else stay
             rows = new.unionByName(written(stay.select(new.columns), "survivors"))
     if buckets:
-        # One task per folder, so that a folder is one file.
-        rows = rows.repartition(*partitions)
+        # One task per folder, so that a folder is one file; a company's rows lie together in it.
+        rows = rows.repartition(*partitions).sortWithinPartitions(*partitions, "filename", "company_id")
     rows.write.format(fmt).options(**options).partitionBy(*partitions).save(f"{path}/{run}")
-    written_folders = _leaf_folders(spark, f"{path}/{run}")
+    written_folders = _leaf_folders(spark, f"{path}/{run}", partitions)
     touched_names = set(written_folders)
     kept = [f for f in live if f.split("/", 2)[2] not in touched_names]
     manifest = {
-        "version": version, "format": fmt, "buckets": buckets or 0, "partition_columns": partitions,
+        "version": version, "format": fmt, "buckets": buckets or 0, "dealt": dealt,
+        "partition_columns": partitions,
         "folders": kept + [f"{run}/{f}" for f in written_folders],
     }
     _commit(spark, path, manifest)
     return version
 
 
+def _needed_buckets(
+    spark: SparkSession, path: str, new: DataFrame, current: dict | None, options: dict
+) -> int | None:
+    """Buckets of a table that is given none; None where every company has its folder."""
+    if current and current.get("dealt"):
+        return current["buckets"]
+    companies = new.select(*KEY).distinct().count()
+    if current and current["buckets"]:
+        companies += _read_version(spark, path, current, new.schema.fieldNames(), options, new.schema).count()
+    elif current:
+        companies += len(current["folders"])
+    return -(-companies // COMPANY_FOLDERS) if companies > COMPANY_FOLDERS else None
+
+
 def bucketed(profiles: DataFrame, buckets: int) -> DataFrame:
     return profiles.withColumn("bucket", F.pmod(F.xxhash64("company_id"), F.lit(buckets)).cast("int"))
 

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from pagefolio.plans import sink
 from pagefolio.plans.profile import stamped
 from pagefolio.plans.sink import (
     PROFILE_DDL,
@@ -114,3 +115,45 @@ def test_concurrent_commit(spark, tmp_path):
         _commit(spark, path, {**first, "version": 2})
     with pytest.raises(ValueError):
         write_profiles(df, path, "csv")
+
+
+def companies(spark, ids, text):
+    one = spark.createDataFrame(ROWS, PROFILE_DDL).filter("company = 'A'")
+    rows = spark.createDataFrame([(str(i),) for i in ids], "cid string").crossJoin(one)
+    return rows.withColumns(
+        {"company_id": F.col("cid"), "filename": F.concat(F.lit("A, "), "cid"), "description": F.lit(text)}
+    ).drop("cid")
+
+
+@pytest.fixture(autouse=True)
+def ten_folders(request, monkeypatch):
+    if "folders" in request.node.name:
+        monkeypatch.setattr(sink, "COMPANY_FOLDERS", 10)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_very_many_companies_share_folders(spark, tmp_path, fmt):
+    """More companies than folders are allowed: the run deals them out itself, later runs keep that."""
+    path = str(tmp_path / "profiles")
+    sink.write_profiles(companies(spark, range(30), "one"), path, fmt)
+    manifest = latest_manifest(spark, path)
+    assert manifest["partition_columns"] == ["updt_date", "bucket"] and manifest["buckets"] == 3
+    assert len(manifest["folders"]) <= 3
+    write_profiles(companies(spark, [4, 30], "two"), path, fmt)
+    assert latest_manifest(spark, path)["buckets"] == 3
+    got = {r.company_id: (r.filename, r.description) for r in read_profiles(spark, path, fmt).collect()}
+    assert got == {str(i): (f"A, {i}", "two" if i in (4, 30) else "one") for i in range(31)}
+
+
+def test_few_companies_keep_their_folders(spark, tmp_path):
+    """A folder for each up to the limit, counted over all runs; beyond it the table moves."""
+    path = str(tmp_path / "profiles")
+    write_profiles(companies(spark, range(6), "one"), path)
+    write_profiles(companies(spark, [2], "two"), path)
+    manifest = latest_manifest(spark, path)
+    assert manifest["partition_columns"] == sink.KEY and len(manifest["folders"]) == 6
+    assert manifest["folders"][-1].endswith("/updt_date=2025-09-01/filename=A, 2/company_id=2")
+    write_profiles(companies(spark, range(5, 12), "three"), path)
+    assert latest_manifest(spark, path)["buckets"] == 2
+    got = {r.company_id: r.description for r in read_profiles(spark, path).collect()}
+    assert got == {str(i): "three" if i >= 5 else "two" if i == 2 else "one" for i in range(12)}
