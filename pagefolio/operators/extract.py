@@ -17,7 +17,7 @@ from pagefolio.functions.selectors import (
 from pagefolio.functions.text import let
 from pagefolio.operators.explode import explode_html
 from pagefolio.sources.pages import few_keys, fetch
-from pagefolio.sources.scratch import size_checked, written
+from pagefolio.sources.scratch import fits_broadcast, size_checked, written
 
 
 def image_names(images: Column, cleaner: Column) -> Column:
@@ -118,8 +118,10 @@ def evaluated(
     the rows then only pick up the narrow result. ``specs`` has ``spec_key`` and ``spec``;
     ``attrs`` gives the attributes that a spec looks at.
 
-    Specs meet their pages before any HTML is read and travel along in the row of the page. So
-    documents are never shuffled or sorted, and a spec that most pages share is no key of theirs.
+    Specs meet their pages without a shuffle or sort of documents, and a spec that most pages share is
+    no key of theirs. Few and small specs are broadcast in one map, where a document looks up those of its
+    page: nested values are slow to shuffle and to pass through Python with every page. Otherwise specs
+    meet their pages before any HTML is read and travel along in the row of the page.
 
     With ``store`` (a folder shared by the cluster) runs are incremental: results are kept by page,
     digest of its HTML and spec key, and a pair found there is not evaluated again, so a run over an
@@ -127,7 +129,9 @@ def evaluated(
     appended to the store. ``spec_key`` must name the spec's content (the digest of its JSON).
     """
     specs = written(specs, "specs")
-    rows = -(-specs.count() // SPECS_PER_ROW) or 1
+    n_specs = specs.count()
+    rows = -(-n_specs // SPECS_PER_ROW) or 1
+    in_map = n_specs <= SPECS_PER_ROW and fits_broadcast(specs)
     found = wanted.filter("page_id is not null")
     pairs = found.select(*PAGE, "spec_key").distinct()
     reused = None
@@ -139,16 +143,31 @@ def evaluated(
             reused = written(kept.join(keyed, keys, "left_semi").dropDuplicates(keys), "reused")
             pairs = keyed.join(reused.select(*keys), keys, "left_anti")
         pairs = pairs.select(*PAGE, "spec_key")
-    groups = (
-        pairs.join(size_checked(specs), "spec_key")
-        .groupBy(*PAGE, F.pmod(F.xxhash64("spec_key"), F.lit(rows)).alias("group"))
-        .agg(F.collect_list(F.struct("spec_key", "spec")).alias("specs"))
-        .drop("group")
-    )
+    if in_map:
+        groups = (
+            pairs.join(F.broadcast(specs.select("spec_key")), "spec_key", "left_semi")
+            .groupBy(*PAGE)
+            .agg(F.collect_list("spec_key").alias("specs"))
+        )
+    else:
+        groups = (
+            pairs.join(size_checked(specs), "spec_key")
+            .groupBy(*PAGE, F.pmod(F.xxhash64("spec_key"), F.lit(rows)).alias("group"))
+            .agg(F.collect_list(F.struct("spec_key", "spec")).alias("specs"))
+            .drop("group")
+        )
     names = specs.select(F.explode(attrs(F.col("spec"))).alias("name")).filter("name is not null")
     docs = explode_html(
         fetch(pages, written(groups, "groups")), attrs=few_keys(names, "name"), with_strings=with_strings
     )
+    if in_map:
+        known = specs.filter("spec_key is not null").agg(
+            F.map_from_entries(F.collect_list(F.struct("spec_key", "spec"))).alias("known")
+        )
+        docs = docs.crossJoin(F.broadcast(known)).withColumn(
+            "specs",
+            F.transform("specs", lambda k: F.struct(k.alias("spec_key"), F.try_element_at("known", k).alias("spec"))),
+        )
     results = docs.select(
         *PAGE,
         F.explode(
