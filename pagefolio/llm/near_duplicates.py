@@ -25,12 +25,13 @@ Null, empty and blank texts have no shingles and link with nothing. Repeated row
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagefolio.llm.components import components
@@ -45,12 +46,28 @@ PIVOT_ROUNDS, PIVOTS = 2, 2
 # Members up to which a band lists its pairs, and members of a block beyond that.
 SMALL_BAND, BLOCK = 24, 400
 
+# Hashes of words that a task remembers, and rows that go to Python at once: sets of long texts take
+# kilobytes each, and a batch of them stands in the JVM's buffers and in Python at the same time.
+WORDS_KEPT, ARROW_ROWS = 50_000, 1_000
+
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 2**31, (HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _TERMS = _RANDOM.integers(0, 2**32, (HASHES, 1), dtype=np.uint32)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """At most ``ARROW_ROWS`` rows in an Arrow batch of what is written meanwhile."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), ARROW_ROWS) if int(before) > 0 else ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shingle_hashes(text: str | None, size: int, memory: dict[str, int]) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of ``size`` words, or of all words if fewer."""
     found = words(lower_ascii(text)) if text else []
@@ -119,7 +136,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
                     # Bands need whole minima; for comparing them, 16 bits tell them apart.
                     short = sig.astype("<u2").tobytes()
                     rows.append((doc_id, len(hashes), key, short, bands, packed_hashes(hashes)))
-                if len(memory) > 500_000:
+                if len(memory) > WORDS_KEPT:
                     memory = {}
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
@@ -417,7 +434,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: int = THRES
     ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id that
     links lead to; a document is kept if that is its own.
     """
-    found = written(shingle_sets(docs, size), "sets")
+    with small_batches(docs.sparkSession):
+        found = written(shingle_sets(docs, size), "sets")
     # A class is a node; the row of its smallest id has the same node, other rows of the class do not.
     node = F.xxhash64("set_key", F.coalesce("doc_id", F.lit(-1)))
     classes = written(
@@ -428,7 +446,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: int = THRES
         "classes",
     )
     rows = found.filter("set_key is not null").withColumn("node", node)
-    labels = linked_components(rows, classes, threshold)
+    with small_batches(docs.sparkSession):
+        labels = linked_components(rows, classes, threshold)
     linked = classes.join(labels.withColumnRenamed("id", "node"), "node")
     smallest = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_class = linked.join(smallest, "component").select("set_key", "component_id")
