@@ -5,7 +5,7 @@ one-versus-rest machines choose the family, one-versus-one machines vote among t
 that family. They are trained in one Spark task, on a sample of labelled documents whose size is
 bounded by ``TOTAL_ROWS`` rows in all, shared evenly by the languages, whatever the size of the
 table and the number of distinct ``lang`` values. Feature rows are float32 (16 KB a row, so at most
-64 MB for the sample); the machines copy them once with their bias column.
+64 MB for the sample); the machines never copy them all, but take a few hundred at a time.
 
 A text that is null, empty or without a letter is ``und`` with score 0. A language that no family
 names belongs to the family ``other``. Without labelled rows every text is ``und``.
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagefolio.llm.batches import small_batches
 from pagefolio.llm.text import slices
 
 FAMILIES = {
@@ -46,6 +47,8 @@ FLOOR_SHARE, FLOOR_QUANTILE, LEAST_ROWS = 0.2, 0.01, 20
 LETTER = regex.compile(r"\p{L}")
 # Characters that are turned into bytes and counted at a time.
 CHUNK_CHARS = 1 << 20
+# Feature rows or columns of a product. Machines count in float64, and numpy copies what it multiplies as such.
+FIT_ROWS, FIT_COLUMNS = 512, 64
 
 
 def features(text: str) -> np.ndarray:
@@ -69,25 +72,61 @@ def features(text: str) -> np.ndarray:
     return out / norm if norm else out
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 60) -> np.ndarray:
-    """Weights, bias last, of a linear machine with squared hinge loss; ``y`` is -1 or 1.
+class _Rows:
+    """Some rows of several arrays as one matrix with a bias column, multiplied a part at a time.
+
+    A row's product takes whole rows and a column's product whole columns, so every sum has the order that it
+    has in one matrix.
+    """
+
+    def __init__(self, parts: list[np.ndarray], chosen: np.ndarray):
+        ends = np.cumsum([len(part) for part in parts])
+        self.parts = [(part, np.flatnonzero(mine)) for part, mine in zip(parts, np.split(chosen, ends[:-1]), strict=True)]
+        self.ends = np.cumsum([len(at) for _, at in self.parts])
+        self.width = parts[0].shape[1] + 1
+
+    def _cut(self, start: int, end: int, left: int, right: int) -> np.ndarray:
+        out = np.ones((end - start, right - left))
+        for (part, at), stop in zip(self.parts, self.ends, strict=True):
+            low, high = max(start, stop - len(at)), min(end, stop)
+            if low < high:
+                found = at[low - stop + len(at) : high - stop + len(at)]
+                out[low - start : high - start, : self.width - 1 - left] = part[found, left : min(right, self.width - 1)]
+        return out
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        n = int(self.ends[-1])
+        return np.concatenate([np.zeros(0), *(
+            self._cut(i, min(i + FIT_ROWS, n), 0, self.width) @ w for i in range(0, n, FIT_ROWS)
+        )])
+
+    def transposed_times(self, v: np.ndarray) -> np.ndarray:
+        edges = [*range(0, max(self.width - FIT_COLUMNS, 1), FIT_COLUMNS), self.width]
+        # numpy turns a transposed matrix that it must copy, which tells the order of the sums.
+        return np.concatenate([
+            np.ascontiguousarray(self._cut(0, len(v), i, j).T) @ v for i, j in zip(edges, edges[1:], strict=False)
+        ])
+
+
+def fit_svm(parts: list[np.ndarray], y: np.ndarray, penalty: float = 1e-4, rounds: int = 60) -> np.ndarray:
+    """Weights, bias last, of a linear machine with squared hinge loss; ``y`` is -1 or 1 for each row of ``parts``.
 
     Newton steps with conjugate gradients; both classes weigh the same in the loss.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    x = _Rows(parts, np.ones(len(y), bool))
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.width)
     for _ in range(rounds):
-        slack = 1 - y * (x @ w)
+        slack = 1 - y * x.times(w)
         active = slack > 0
-        xa, ca = x[active], weight[active]
-        gradient = penalty * w - xa.T @ (ca * y[active] * slack[active])
+        xa, ca = _Rows(parts, active), weight[active]
+        gradient = penalty * w - xa.transposed_times(ca * y[active] * slack[active])
         if np.linalg.norm(gradient) < 1e-6:
             break
         step, r = np.zeros_like(w), -gradient
         p, rr = r.copy(), r @ r
         for _ in range(25):
-            hp = penalty * p + xa.T @ (ca * (xa @ p))
+            hp = penalty * p + xa.transposed_times(ca * xa.times(p))
             alpha = rr / max(p @ hp, 1e-30)
             step += alpha * p
             r -= alpha * hp
@@ -124,10 +163,11 @@ def sample_rows(labelled: DataFrame, total: int = TOTAL_ROWS) -> DataFrame:
     return chosen.mapInArrow(run, "lang string, place double, x binary").withColumn("_quota", F.lit(per_language))
 
 
-def _stacked(rows: list[tuple[str, float, bytes]], per_language: int) -> dict[str, np.ndarray]:
-    """Feature rows by language, at most ``per_language`` each, the first by hash place."""
+def _stacked(rows: Iterable[tuple[str, float, bytes, int]]) -> dict[str, np.ndarray]:
+    """Feature rows by language, at most the quota that each row names, the first by hash place."""
     found: dict[str, list] = {}
-    for lang, place, x in rows:
+    per_language = 1
+    for lang, place, x, per_language in rows:
         found.setdefault(lang, []).append((place, x))
     samples = {}
     for lang in sorted(found):
@@ -138,9 +178,7 @@ def _stacked(rows: list[tuple[str, float, bytes]], per_language: int) -> dict[st
 
 def sample_features(labelled: DataFrame, total: int = TOTAL_ROWS) -> dict[str, np.ndarray]:
     """The sample of ``sample_rows`` on the driver (for tests and small tables)."""
-    rows = sample_rows(labelled, total).collect()
-    quota = rows[0]["_quota"] if rows else 1
-    return _stacked([(r["lang"], r["place"], bytes(r["x"])) for r in rows], quota)
+    return _stacked((r["lang"], r["place"], bytes(r["x"]), r["_quota"]) for r in sample_rows(labelled, total).collect())
 
 
 class LanguageModel:
@@ -154,10 +192,7 @@ class LanguageModel:
         self.families = sorted(self.members)
         self.family_weights = self._one_versus_rest(samples)
         self.pair_weights = {
-            (a, b): fit_svm(
-                np.vstack([samples[a], samples[b]]),
-                np.r_[np.ones(len(samples[a])), -np.ones(len(samples[b]))],
-            )
+            (a, b): fit_svm([samples[a], samples[b]], np.r_[np.ones(len(samples[a])), -np.ones(len(samples[b]))])
             for langs in self.members.values()
             for a, b in combinations(langs, 2)
         }
@@ -183,7 +218,7 @@ class LanguageModel:
     def _one_versus_rest(self, samples: dict[str, np.ndarray]) -> np.ndarray:
         if len(self.families) < 2:
             return np.zeros((len(self.families), BUCKETS + 1))
-        x = np.vstack([samples[lang] for f in self.families for lang in self.members[f]])
+        x = [samples[lang] for f in self.families for lang in self.members[f]]
         of = np.concatenate([[i] * len(samples[lang]) for i, f in enumerate(self.families) for lang in self.members[f]])
         return np.array([fit_svm(x, np.where(of == i, 1.0, -1.0)) for i in range(len(self.families))])
 
@@ -240,16 +275,15 @@ def train(docs: DataFrame) -> LanguageModel:
     learned = usable.filter(remainder(F.col("doc_id"), 4) != 2)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, quota = [], 1
-        for batch in batches:
-            if batch.num_rows:
-                quota = batch.column(3)[0].as_py()
-            rows += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         # The fitted state only: weights, languages and floors.
-        state = LanguageModel(_stacked(rows, quota)).__dict__
+        state = LanguageModel(_stacked(rows)).__dict__
         yield pa.record_batch([pa.array([pickle.dumps(state)], pa.binary())], ["model"])
 
-    fitted = sample_rows(learned.select("doc_id", "text", "lang")).coalesce(1).mapInArrow(fit, "model binary").collect()
+    # A shuffle, so that only the sample's rows meet in one task and texts are read by many.
+    sample = sample_rows(learned.select("doc_id", "text", "lang")).repartition(1)
+    with small_batches(docs.sparkSession):
+        fitted = sample.mapInArrow(fit, "model binary").collect()
     model = LanguageModel.__new__(LanguageModel)
     model.__dict__.update(pickle.loads(fitted[0]["model"]) if fitted else LanguageModel({}).__dict__)
     return model

@@ -25,15 +25,15 @@ Null, empty and blank texts have no shingles and link with nothing. Repeated row
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagefolio.llm.batches import ARROW_ROWS, small_batches  # noqa: F401
 from pagefolio.llm.components import components
 from pagefolio.llm.text import lower_ascii, slices, words
 from pagefolio.operators.prune import only_needed
@@ -46,9 +46,8 @@ PIVOT_ROUNDS, PIVOTS = 2, 2
 # Members up to which a band lists its pairs, and members of a block beyond that.
 SMALL_BAND, BLOCK = 24, 400
 
-# Hashes of words that a task remembers, and rows that go to Python at once: sets of long texts take
-# kilobytes each, and a batch of them stands in the JVM's buffers and in Python at the same time.
-WORDS_KEPT, ARROW_ROWS = 50_000, 1_000
+# Hashes of words that a task remembers.
+WORDS_KEPT = 50_000
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 2**31, (HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -56,18 +55,6 @@ _TERMS = _RANDOM.integers(0, 2**32, (HASHES, 1), dtype=np.uint32)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """At most ``ARROW_ROWS`` rows in an Arrow batch of what is written meanwhile."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), ARROW_ROWS) if int(before) > 0 else ARROW_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def shingle_hashes(text: str | None, size: int, memory: dict[str, int]) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of ``size`` words, or of all words if fewer."""
     found = words(lower_ascii(text)) if text else []
