@@ -1,10 +1,10 @@
 """Byte-level BPE by recursive queries of an in-process DuckDB, one database per task.
 
 Texts are split by the tokenizer's pattern. The distinct words that a task has not met yet become
-rows of token positions, at first one per byte. A recursive query joins neighbours with the merge
-table, contracts each word's leftmost pair of minimum rank and goes on with the words that
-changed, until none does. Ordered aggregations put the words' ids together for each document and
-decode them again from the bytes of the tokens.
+rows with a list of their tokens, at first one per byte. A recursive query contracts each word's
+leftmost pair of minimum rank, joins the new token and its neighbours with the merge table and goes
+on with the words that changed, until none does. Aggregations put the words' ids together for each
+document and decode them again from the bytes of the tokens.
 
 The merge table has a row for every way to put two tokens together to a third, so it is bounded by
 the vocabulary. A word that is itself a token is that token. Words over ``LONG_BYTES`` bytes, of
@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count, islice
 
 import duckdb
 import numpy as np
@@ -31,6 +33,8 @@ LONG_BYTES = 64
 CHUNK_CHARS = 1_500_000
 LEARN_WORDS = 20_000
 MEMORY_WORDS = 700_000
+# Above all ids: the rank of a pair that is no token, and the token after a word's last.
+NONE = (1 << 24) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,28 +61,31 @@ def merge_rows(ranks: dict[bytes, int]) -> np.ndarray:
     return np.column_stack([table, lowest[table[:, 2]] > table[:, 2]])
 
 
-# One row per token: k its key, w << 8 | position of its first byte; e the key of the token after it;
-# t its id. A round joins each token with its neighbour and the pair with the merge table, takes
-# each word's pair of minimum rank, the first of several, and writes the words that have one anew.
-# Rounds are numbered; the rows of a word's last round are its result.
-CONTRACT = """
-WITH RECURSIVE bpe(i, k, e, t) AS (
-  SELECT 0, k, e, t FROM start
+# One row per word: x has its tokens and a last NONE, each as rank << 32 | position << 24 | id, with
+# the rank of the pair it makes with the token before it and the position of its first byte. So the
+# minimum m is the word's pair of minimum rank, the first of several. A round puts the pair's token in
+# its place and joins only the two pairs that are new with the merge table. A word's last row, which
+# has no pair left, is its result.
+CONTRACT = f"""
+WITH RECURSIVE bpe(w, x, m) AS (
+  SELECT w, x, list_min(x) FROM start
   UNION ALL (
   WITH best AS (
-    SELECT a.k >> 8 AS w, min((m.merged << 8) + (a.k & 255)) AS first,
-      arg_min(b.k, (m.merged << 8) + (a.k & 255)) AS gone, arg_min(b.e, (m.merged << 8) + (a.k & 255)) AS e
-    FROM bpe a JOIN bpe b ON a.e = b.k JOIN merges m ON m.pair = (a.t << 24) + b.t
-    GROUP BY a.k >> 8
+    SELECT w, x, m >> 32 AS merged, list_position(x, m) AS i FROM bpe WHERE m < {NONE << 32}
+  ), near AS (
+    SELECT w, x, merged, i, x[i - 2] & {NONE} AS before, x[i - 1] & {0xFF << 24} AS p, x[i + 1] & {(1 << 32) - 1} AS after
+    FROM best
+  ), put AS (
+    SELECT w, list_concat(x[:i - 2], [
+      (coalesce(a.merged, {NONE}) << 32) + p + near.merged, (coalesce(b.merged, {NONE}) << 32) + after], x[i + 2:]) AS x
+    FROM near LEFT JOIN merges a ON a.pair = (before << 24) + near.merged
+    LEFT JOIN merges b ON b.pair = (near.merged << 24) + (after & {NONE})
   )
-  SELECT a.i + 1, a.k, CASE WHEN (a.k & 255) = (first & 255) THEN best.e ELSE a.e END,
-    CASE WHEN (a.k & 255) = (first & 255) THEN first >> 8 ELSE a.t END
-  FROM bpe a JOIN best ON (a.k >> 8) = best.w WHERE a.k <> best.gone)
+  SELECT w, x, list_min(x) FROM put)
 )
-SELECT w, k AS p, t FROM bpe JOIN (SELECT k >> 8 AS w, max(i) AS i FROM bpe GROUP BY k >> 8) z
-  ON z.w = (bpe.k >> 8) AND z.i = bpe.i
+SELECT w, v >> 24 & 255 AS p, v & {NONE} AS t FROM (SELECT w, unnest(x[:-2]) AS v FROM bpe WHERE m >= {NONE << 32})
 """
-# As above, but all occurrences of the minimum pair that do not overlap are contracted: of a run of
+# One row per token. All occurrences of the minimum pair that do not overlap are contracted: of a run of
 # overlapping ones the first, third and so on. Only the first where that could change the result.
 # Rows have keys and replace each other, so a long word takes no more room than its bytes; contracted
 # positions stay with id -1.
@@ -121,9 +128,17 @@ INSERT INTO known
 SELECT w, count(*), string_agg(id_hex, ''), string_agg(hex, '')
 FROM (SELECT w, id_hex, hex FROM ({}) JOIN tokens USING (t) ORDER BY w, p) GROUP BY w
 """
-DOCUMENTS_SORTED = """
+# No sort where rows are in order already, if joins keep the order of the side written first. Only
+# the words of a chunk are put in the join's table.
+AS_READ = "SET disabled_optimizers = 'join_order,build_side_probe_side'"
+AS_PLANNED = "SET disabled_optimizers = ''"
+KEEP_AS_READ = """
+INSERT INTO known
+SELECT w, count(*), string_agg(id_hex, ''), string_agg(hex, '') FROM ({}) JOIN tokens USING (t) GROUP BY w
+"""
+DOCUMENTS_AS_READ = """
 SELECT d, CAST(sum(n) AS BIGINT) AS n, string_agg(ids, '') AS ids, string_agg(bytes, '') AS bytes
-FROM (SELECT d, n, ids, bytes FROM occurrences JOIN known USING (w) ORDER BY d, p) GROUP BY d ORDER BY d
+FROM occurrences JOIN (SELECT * FROM known WHERE w IN (SELECT w FROM occurrences)) k USING (w) GROUP BY d ORDER BY d
 """
 DIGESTS = """
 SELECT d, n, sha256(unhex(ids)) AS ids_sha256, sha256(unhex(bytes)) AS decoded_sha256 FROM ({})
@@ -137,8 +152,9 @@ class Bpe:
         self.pattern = regex.compile(pattern)
         self.ranks = ranks
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.words: dict[str, int] = {}
         self.strict = False
+        pairs = dict(zip((merges[:, 0] << 24) + merges[:, 1], merges[:, 2], strict=True))
+        self.byte_ranks = np.array([[pairs.get((a << 24) + b, NONE) for b in self.byte_ids] for a in self.byte_ids], np.int64)
         self.db = db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         db.execute("SET enable_progress_bar = false")
         db.register("m", pa.table([pa.array(c) for c in merges.T], ["l", "r", "merged", "alone"]))
@@ -152,7 +168,7 @@ class Bpe:
         self.forget()
 
     def forget(self) -> None:
-        self.words = {}
+        self.words: dict[str, int] = defaultdict(count().__next__)
         self.db.execute("CREATE OR REPLACE TABLE known (w BIGINT, n BIGINT, ids VARCHAR, bytes VARCHAR)")
 
     def positions(self, words: list[tuple[int, bytes]]) -> pa.Table:
@@ -164,13 +180,18 @@ class Bpe:
         t = self.byte_ids[np.frombuffer(b"".join(code for _, code in words), np.uint8)]
         return pa.table([pa.array(w), pa.array(p), pa.array(t)], ["w", "p", "t"])
 
-    def keyed(self, words: list[tuple[int, bytes]]) -> pa.Table:
-        rows = self.positions(words)
-        w, p = rows["w"].to_numpy(), rows["p"].to_numpy()
-        key = w << 8 | p
-        after = np.append(key[1:], -1)
-        after[np.append(w[1:] != w[:-1], True)[: len(after)]] = -1
-        return pa.table([pa.array(key), pa.array(after[: len(key)]), rows["t"]], ["k", "e", "t"])
+    def lists(self, words: list[tuple[int, bytes]]) -> pa.Table:
+        sizes = np.array([len(code) for _, code in words], np.int64)
+        ends = np.cumsum(sizes)
+        codes = np.frombuffer(b"".join(code for _, code in words), np.uint8)
+        ranks = np.full(len(codes), NONE)
+        ranks[1:] = self.byte_ranks[codes[:-1], codes[1:]]
+        ranks[ends - sizes] = NONE
+        p = np.arange(len(codes)) - np.repeat(ends - sizes, sizes)
+        x = np.insert((ranks << 32) + (p << 24) + self.byte_ids[codes], ends, (NONE << 32) + NONE)
+        starts = np.append(0, ends + np.arange(1, len(ends) + 1))
+        w = pa.array([w for w, _ in words], pa.int64())
+        return pa.table([w, pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x))], ["w", "x"])
 
     def learn(self, words: list[tuple[int, str]]) -> None:
         """Brings new words to their fixpoint and keeps their ids and bytes."""
@@ -179,7 +200,7 @@ class Bpe:
         rest = [(w, code) for w, code in codes if code not in self.ranks]
         parts = {
             "single": pa.table([pa.array(c, pa.int64()) for c in zip(*single, strict=True)] if single else [pa.array([], pa.int64())] * 2, ["w", "t"]),
-            "start": self.keyed([(w, c) for w, c in rest if len(c) <= LONG_BYTES]),
+            "start": self.lists([(w, c) for w, c in rest if len(c) <= LONG_BYTES]),
             "start_long": self.positions([(w, c) for w, c in rest if len(c) > LONG_BYTES]),
         }
         sources = {"single": "SELECT w, 0 AS p, t FROM single", "start": CONTRACT, "start_long": CONTRACT_LONG}
@@ -187,29 +208,32 @@ class Bpe:
         for name, rows in parts.items():
             if rows.num_rows:
                 self.db.register(name, rows)
-                self.db.execute((KEEP if self.strict else KEEP_SORTED).format(sources[name]))
+                as_read = not self.strict and name != "start_long"  # whose rows are in no order
+                keep = KEEP if self.strict else KEEP_AS_READ if as_read else KEEP_SORTED
+                self.db.execute(AS_READ if as_read else AS_PLANNED)
+                self.db.execute(keep.format(sources[name]))
                 self.db.unregister(name)
 
     def documents(self, texts: list[str], digests: bool = True) -> pa.Table:
         """Digests, or ids and bytes, of each text that has a word; ``d`` is the text's place."""
         if len(self.words) > MEMORY_WORDS:
             self.forget()
-        known, new = self.words, []
         found = [self.pattern.findall(text) for text in texts]
         sizes = [len(words) for words in found]
-        for word in set().union(*found).difference(known):
-            new.append((len(known), word))
-            known[word] = len(known)
-        w = [one for words in found for one in map(known.__getitem__, words)]
+        before = len(self.words)
+        # A word that is not known yet gets the next number.
+        w = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
+        new = [(self.words[word], word) for word in islice(reversed(self.words), len(self.words) - before)]
         for start in range(0, len(new), LEARN_WORDS):
             self.learn(new[start : start + LEARN_WORDS])
         occurrences = pa.table(
-            [pa.array(np.repeat(np.arange(len(texts)), sizes)), pa.array(np.arange(len(w))), pa.array(np.array(w, np.int64))],
+            [pa.array(np.repeat(np.arange(len(texts)), sizes)), pa.array(np.arange(len(w))), pa.array(w)],
             ["d", "p", "w"],
         )
         self.db.register("occurrences", occurrences)
         form = DIGESTS if digests else "{}"
-        rows = self.db.sql(form.format(DOCUMENTS if self.strict else DOCUMENTS_SORTED)).to_arrow_table()
+        self.db.execute(AS_PLANNED if self.strict else AS_READ)
+        rows = self.db.sql(form.format(DOCUMENTS if self.strict else DOCUMENTS_AS_READ)).to_arrow_table()
         self.db.unregister("occurrences")
         decoded = rows.column("decoded_sha256" if digests else "bytes").to_pylist()
         for d, value in zip(rows.column("d").to_pylist(), decoded, strict=True):

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -293,6 +294,51 @@ def test_byte_bpe(docs):
     assert byte_bpe.encoded(empty(docs), path, public_tokenizers.PATTERN, digests=True).count() == 0
 
 
+@pytest.fixture(scope="module")
+def bpe():
+    """A tokenizer of its own, and the library's ids."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    merges = byte_bpe.merge_rows(ranks)
+    return lambda: byte_bpe.Bpe(ranks, merges, public_tokenizers.PATTERN), library.encode_ordinary
+
+
+def ids_of(rows):
+    return [np.frombuffer(bytes.fromhex(x), "<u4").tolist() for x in rows.column("ids").to_pylist()]
+
+
+def test_byte_bpe_many_words_of_many_rounds(bpe):
+    """Takes a row per word and round; a row per token and round ran out of memory."""
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=63)) for _ in range(20_000))
+    text += " aaa bbbbb abababab " + " ".join("a" * n for n in range(1, 64))
+    make, encode = bpe
+    assert ids_of(make().documents([text], digests=False)) == [encode(text)]
+
+
+def test_byte_bpe_sorts_documents_only(bpe, tmp_path):
+    """Words come in their order; of rows that are sorted there is one for each document."""
+    rng = random.Random(4)
+    # Later texts bring new words, repeat known ones and hold some of the first text's words only.
+    texts = [" ".join("".join(rng.choices("etaoins", k=rng.randint(1, 9))) for _ in range(3000)) for _ in range(6)]
+    make, encode = bpe
+    own = make()
+    own.documents(texts[:3])
+    profile = tmp_path / "profile.json"
+    own.db.execute("PRAGMA enable_profiling = 'json'")
+    own.db.execute(f"PRAGMA profiling_output = '{profile}'")
+    found = own.documents(texts[::-1], digests=False)
+    own.db.execute("PRAGMA disable_profiling")
+    assert ids_of(found) == [encode(text) for text in texts[::-1]] and not own.strict
+
+    def sorted_rows(node):
+        mine = node["intermediate_rows"] if node["type"] == "ORDER_BY" else 0
+        return mine + sum(map(sorted_rows, node.get("children", [])))
+
+    nodes = json.loads(profile.read_text())["operator"]
+    assert 0 < sum(map(sorted_rows, nodes)) <= len(texts)
+
+
 # -- personal data ---------------------------------------------------------------------------------
 def plain_spans(text):
     spans = [(0, m.start(), m.end()) for m in personal_data.EMAIL.finditer(text)]
