@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagefolio.operators.explode import explode_html
-from pagefolio.sources.pages import spread
+from pagefolio.sources.pages import evened, spread
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """The wanted columns of a table, in at least one partition per core."""
-    return spread(spark.read.parquet(f"{sf}/{name}.parquet").select(*columns), columns[0])
+    """The wanted columns of a table, in at least one partition per core.
+
+    Narrow rows are also dealt out anew if their partitions are uneven: as HTML they take far longer.
+    """
+    rows = spark.read.parquet(f"{sf}/{name}.parquet").select(*columns)
+    dealt = spread(rows, columns[0])
+    return evened(rows, *columns) if dealt is rows and "html" not in columns else dealt
 
 
 def page_docs(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagefolio.functions.selectors import pick_node, pick_string, text_of
+from pagefolio.functions.selectors import Constant, pick_node, pick_string, text_of
 from pagefolio.functions.text import strip
 
 FIELDS = ("topic", "title", "date", "author", "summary")
@@ -26,7 +26,7 @@ LAYOUTS = {
 }
 
 
-def field_from_string(found: Column, p: Column) -> Column:
+def field_from_string(found: Column, p: Column | Constant) -> Column:
     """A found string as a field: label removed, one part of a split, stripped."""
     bare = strip(
         F.when(p["remove"].isNull(), found).otherwise(F.replace(found, p["remove"], F.lit("")))
@@ -36,7 +36,7 @@ def field_from_string(found: Column, p: Column) -> Column:
     return F.when(p["split_on"].isNull(), bare).otherwise(part)
 
 
-def field_value(text: Column, nodes: Column, strings: Column, p: Column) -> Column:
+def field_value(text: Column, nodes: Column, strings: Column, p: Column | Constant) -> Column:
     """One field of a page by its pick, or the pick's default."""
     value = F.when(
         p["string_pattern"].isNotNull(), field_from_string(pick_string(strings, p), p)

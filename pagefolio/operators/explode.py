@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagefolio.functions import html as page_reader
+from pagefolio.functions import plain as plain_reader
 from pagefolio.functions.html import DOC_DDL, STRINGS_DDL, read_pages
 from pagefolio.functions.selectors import own_string, text_of
 
-# Ships the page reader with its tasks, so that workers need not have the package installed.
+# Ships the page readers with their tasks, so that workers need not have the package installed.
 cloudpickle.register_pickle_by_value(page_reader)
+cloudpickle.register_pickle_by_value(plain_reader)
 
 
 def explode_html(
